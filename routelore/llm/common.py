@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -65,6 +66,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def with_fields(df: DataFrame, *fields: tuple[str, str]) -> T.StructType:
+    """The schema of ``df`` and further (name, DDL type) fields behind."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields)).fields])
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, underscored until no column of ``df`` has it (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}

@@ -7,22 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import langid, mixing, quality, secret_scan, sharding
 from .common import read
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(spark, read(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id")
     return sharding.assign_shards(spark, docs, F.col("doc_id"), sharding.shard_names())
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets_query(spark, read(spark, sf_dir, "documents"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_query(spark, read(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(spark, read(spark, sf_dir, "documents"))
 
 
+#: Every registered query.
+QUERIES = [op3_quality, op4_sharding, op6_secrets, op7_language, op8_mixing]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_sharding": op4_sharding, "op8_mixing": op8_mixing}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": sharding.oracle("doc_id"), "op8_mixing": mixing.ORACLE}
+    return {"op3_quality": quality.ORACLE, "op4_sharding": sharding.oracle("doc_id"), "op8_mixing": mixing.ORACLE}
