@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, secret_scan, sharding
+from . import decontam, langid, mixing, quality, secret_scan, sharding, token_counts
 from .common import read
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontam_query(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark, read(spark, sf_dir, "documents"))
 
@@ -32,8 +36,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(spark, read(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.tokens_query(spark, read(spark, sf_dir, "documents"))
+
+
 #: Every registered query.
-QUERIES = [op3_quality, op4_sharding, op6_secrets, op7_language, op8_mixing]
+QUERIES = [op2_decontamination, op3_quality, op4_sharding, op6_secrets, op7_language, op8_mixing, op9_token_counts]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
