@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, quality, secret_scan, sharding, token_counts
+from . import decontam, html_extract, langid, mixing, quality, secret_scan, sharding, simhash, token_counts
 from .common import read
 
 
@@ -24,6 +24,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(spark, docs, F.col("doc_id"), sharding.shard_names())
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(spark, read(spark, sf_dir, "pages"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets_query(spark, read(spark, sf_dir, "documents"))
 
@@ -40,8 +44,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.tokens_query(spark, read(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_query(spark, read(spark, sf_dir, "documents"))
+
+
 #: Every registered query.
-QUERIES = [op2_decontamination, op3_quality, op4_sharding, op6_secrets, op7_language, op8_mixing, op9_token_counts]
+QUERIES = [op2_decontamination, op3_quality, op4_sharding, op5_html, op6_secrets, op7_language, op8_mixing, op9_token_counts, op10_simhash]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
