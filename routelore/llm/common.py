@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def stash(df: DataFrame) -> DataFrame:
+    """``df`` written as a compact table to the checkpoint folder and read again: cuts lineage like checkpoint().
+
+    The tables of a session are removed when its driver ends."""
+    spark = df.sparkSession
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/tables"
+    df.write.parquet(path := f"{folder}/{uuid.uuid4().hex}")
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    atexit.register(remove)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a narrow ``right`` that was checkpointed: broadcast if its counted rows are few, shuffled otherwise."""
     return left.join(F.broadcast(right) if right.limit(max_rows + 1).count() <= max_rows else right, on, how)

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, langid, mixing, quality, secret_scan, sharding, simhash, token_counts
+from . import decontam, html_extract, langid, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, token_counts
 from .common import read
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(spark, read(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontam_query(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -49,7 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Every registered query.
-QUERIES = [op2_decontamination, op3_quality, op4_sharding, op5_html, op6_secrets, op7_language, op8_mixing, op9_token_counts, op10_simhash]
+QUERIES = [op1_suffix_dedup, op2_decontamination, op3_quality, op4_sharding, op5_html, op6_secrets, op7_language, op8_mixing, op9_token_counts, op10_simhash]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
