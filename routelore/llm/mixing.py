@@ -81,7 +81,8 @@ def source_weights(docs: DataFrame, repeat_limit: float | None = REPEAT_LIMIT, t
     return flat.select(
         F.col("s.all.source").alias("source"), F.col("s.all.source_tokens").alias("source_tokens"),
         F.ceil(F.col("s.all.source_docs") / F.lit(BLOCK_DOCS)).cast("long").alias("n_blocks"),
-        "exponent", weight.alias("weight"), F.round(weight * F.col("budget")).cast("long").alias("source_budget"),
+        "exponent", weight.alias("weight"),
+        F.greatest(F.round(weight * F.col("budget")).cast("long"), F.col("s.all.source_tokens") if budget_factor >= 1 else F.lit(0)).alias("source_budget"),
     )
 
 
@@ -120,13 +121,14 @@ def mix_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def mix_rows(spark: SparkSession, docs: DataFrame, repeat_limit: float = REPEAT_LIMIT) -> DataFrame:
     """``docs`` itself, each row as many times as the mix gives it (the columns of ``docs``)."""
-    times = mix(spark, docs, repeat_limit).groupBy("doc_id", "digest", "source").agg(F.count("*").alias("given"), F.max("copy").alias("rows"))
-    # equal rows share their copies: the first ones take what does not divide
+    times = mix(spark, docs, repeat_limit).groupBy("doc_id", "digest", "source").agg(F.count("*").alias("given"), F.count_distinct("copy").alias("rows"))
+    times = times.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"), F.col("source").alias("__s"), "given", "rows").checkpoint()
     keyed = docs.withColumns({"__digest": F.coalesce(F.md5("text"), F.lit("")), "__source": F.coalesce("source", F.lit(""))})
-    times = times.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"), F.col("source").alias("__s"), "given", "rows")
-    same = W.partitionBy("doc_id", "__digest", "__source").orderBy(F.lit(1))
     keyed = keyed.join(times, keyed["doc_id"].eqNullSafe(times["__id"]) & (keyed["__digest"] == times["__d"]) & (keyed["__source"] == times["__s"]), "inner")
-    keyed = keyed.withColumn("__row", F.row_number().over(same))
+    row = F.lit(1)
+    if times.where("rows > 1").limit(1).count():  # equal rows share their copies: the first ones take what does not divide
+        row = F.row_number().over(W.partitionBy("doc_id", "__digest", "__source").orderBy(F.lit(1)))
+    keyed = keyed.withColumn("__row", row)
     keyed = keyed.withColumn("__times", F.expr("cast(given div rows + if(__row <= given % rows, 1, 0) as int)"))
     return keyed.where("__times > 0").withColumn("__k", F.explode(F.expr("sequence(1, __times)"))).select(*docs.columns)
 
@@ -146,7 +148,7 @@ WITH RECURSIVE base AS (
 ), raised AS (
   SELECT stats.*, pow(share, (SELECT hi FROM bisect ORDER BY k DESC LIMIT 1)) AS r FROM stats
 ), weights AS (
-  SELECT *, CAST(round(r / sum(r) OVER () * max_b) AS BIGINT) AS source_budget FROM (SELECT *, max(source_tokens * (SELECT sum(r) FROM raised) / r) OVER () AS max_b FROM raised)
+  SELECT *, greatest(CAST(round(r / sum(r) OVER () * max_b) AS BIGINT), CAST(source_tokens AS BIGINT)) AS source_budget FROM (SELECT *, max(source_tokens * (SELECT sum(r) FROM raised) / r) OVER () AS max_b FROM raised)
 ), placed AS (
   SELECT d.*, w.source_tokens, w.source_budget, CAST('0x' || substr(md5(concat_ws('|', d.source, coalesce(CAST(doc_id AS VARCHAR), ''), copy, digest)), 1, 12) AS BIGINT) % CAST(n_blocks AS BIGINT) AS block,
          unnest(range(1, CAST(ceil(source_budget / source_tokens) AS BIGINT) + 1)) AS epoch

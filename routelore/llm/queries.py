@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import decontam, html_extract, langid, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, token_counts
 from .common import read
 
@@ -57,8 +59,8 @@ QUERIES = [op1_suffix_dedup, op2_decontamination, op3_quality, op4_sharding, op5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    return {f.__name__: f for f in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality": quality.ORACLE, "op4_sharding": sharding.oracle("doc_id"), "op8_mixing": mixing.ORACLE}
+    return {"op3_quality": quality.ORACLE, "op4_sharding": sharding.oracle("doc_id"), "op8_mixing": mixing.ORACLE} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
