@@ -107,7 +107,7 @@ class Page:
             elif tag == "a":
                 in_link = not closing
             elif closing:
-                if tag in BLOCKS:
+                if tag in BLOCKS or tag in LEFT_OUT:
                     k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
                     flush()
                     if k:
