@@ -222,7 +222,7 @@ def test_strict_decisions(content, good):
 
 def test_example_scan(spark, tmp_path):
     good = '{"id": "%s", "input": "t", "route": {"name": "billing", "arguments": {"id": "x", "n": 12345678901234567890123}}}'
-    data = [(good % "1").encode(), b"", b'{"id": 1', b'{"id": "2", "input": "", "route": {"name": "other"}}', b'{"id": "3", "input": "a\rb", "route": {"name": "zz"}}', b'{"input": "x", "route": {"name": "other"}}', b'{"input": "\xff", "route": {"name": "other"}}', b'{"input": "NaN", "route": {"name": "other"}, "metadata": {"x": NaN}}', (good % "1").encode()]
+    data = [(good % "1").encode(), b"", b'{"id": 1', b'{"id": "2", "input": "", "route": {"name": "other"}}', b'{"id": "3", "input": "ab", "route": {"name": "zz"}}\r', b'{"input": "x", "route": {"name": "other"}}', b'{"input": "\xff", "route": {"name": "other"}}', b'{"input": "NaN", "route": {"name": "other"}, "metadata": {"x": NaN}}', (good % "1").encode()]
     path = tmp_path / "rows.jsonl"
     path.write_bytes(b"\n".join(data) + b"\n")
     rows, violations = jsonl.load_examples(spark, str(path), registry.registry(spark, ROUTES))
