@@ -9,14 +9,15 @@ cost one token a UTF-8 byte. Of equal scores the segmentation with fewer pieces
 The vocabulary is the file of a public sentencepiece model; its path is a parameter. Unigram models bring their
 own scores; for others, which only rank their pieces, the score is the logarithm of a Zipf probability of the rank.
 
-Every task has its own trie, emptied when it holds ``MAX_NODES`` nodes: memory is bounded, nothing is shuffled, and
-emptying changes no result. Null and empty texts have no tokens. Rows keep their number; equal texts get equal counts.
+Every task walks a trie of its own per batch and keeps the terminal counts of some ``MAX_WORDS`` words: memory is
+bounded, nothing is shuffled, and forgetting changes no result. Null and empty texts have no tokens. Rows keep their number; equal texts get equal counts.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import configure, with_fields
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_NODES = 400_000
+#: Terminal counts that a task keeps for words seen before.
+MAX_WORDS = 400_000
 MARK = "▁"
 #: Score of a byte of an uncovered character, below that of every piece.
 BYTE_PENALTY = 10.0
@@ -49,41 +51,50 @@ def load_scores(model: str = MODEL) -> dict[str, float]:
 
 
 class Trie:
-    """Forward scores and piece counts of all prefixes of the words asked for."""
-
-    def __init__(self, scores: dict[str, float], max_nodes: int = MAX_NODES) -> None:
-        self.scores, self.max_nodes = scores, max_nodes
-        self.longest = max(map(len, scores), default=1)
+    """Forward scores and piece counts of the prefixes of distinct words.
+
+    Words are inserted in sorted order, which walks their trie depth-first: the nodes from the root to the current word are
+    kept, those that the next word shares stay, and each node is worked out once. A node also keeps the beginnings from
+    which its prefix may still grow into a piece, so hopeless substrings are not looked up."""
+
+    def __init__(self, scores: dict[str, float]) -> None:
+        self.pieces: dict[str, float | None] = {}  # pieces with their scores, and beginnings of pieces with none
+        for piece in scores:
+            for k in range(1, len(piece)):
+                self.pieces.setdefault(piece[:k])
+        self.pieces.update(scores)
         self.byte = min(scores.values(), default=0.0) - BYTE_PENALTY
-        self.clear()
-
-    def clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.best, self.count = [0.0], [0]
-
-    def tokens(self, word: str) -> int:
-        """Pieces of the best segmentation of a word."""
-        if len(self.best) > self.max_nodes:
-            self.clear()
-        child, best, count, scores, longest = self.child, self.best, self.count, self.scores, self.longest
-        path = [0]
-        for end, c in enumerate(word, 1):
-            node = child.get((path[-1], c))
-            if node is None:
-                n_bytes = len(c.encode("utf-8", "surrogatepass"))
-                top, pieces = best[path[-1]] + n_bytes * self.byte, count[path[-1]] + n_bytes
-                for begin in range(max(0, end - longest), end):
-                    s = scores.get(word[begin:end])
-                    if s is not None:
-                        at = path[begin]
-                        score = best[at] + s
-                        if score > top or (score == top and count[at] + 1 < pieces):
-                            top, pieces = score, count[at] + 1
-                node = child[path[-1], c] = len(best)
+        self.nodes = 0
+
+    def counts(self, words: Iterable[str]) -> dict[str, int]:
+        """Word to the number of pieces of its best segmentation."""
+        pieces, byte, missing = self.pieces, self.byte, self
+        best, count, open_, last, out = [0.0], [0], [()], "", {}
+        for word in sorted(set(words)):
+            shared, most = 0, min(len(word), len(last))
+            while shared < most and word[shared] == last[shared]:
+                shared += 1
+            del best[shared + 1 :], count[shared + 1 :], open_[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                c = word[end - 1]
+                n_bytes = 1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass"))
+                top, fewest, going = best[end - 1] + n_bytes * byte, count[end - 1] + n_bytes, []
+                for begin in (*open_[end - 1], end - 1):
+                    score = pieces.get(word[begin:end], missing)
+                    if score is missing:
+                        continue
+                    going.append(begin)
+                    if score is not None:
+                        score += best[begin]
+                        if score > top or (score == top and count[begin] + 1 < fewest):
+                            top, fewest = score, count[begin] + 1
                 best.append(top)
-                count.append(pieces)
-            path.append(node)
-        return count[path[-1]]
+                count.append(fewest)
+                open_.append(going)
+                self.nodes += 1
+            last = word
+            out[word] = count[-1]
+        return out
 
 
 def count_tokens(spark: SparkSession, df: DataFrame, text: str = "text", model: str = MODEL, into: tuple[str, str] = ("n_pretokens", "n_tokens")) -> DataFrame:
@@ -95,19 +106,11 @@ def count_tokens(spark: SparkSession, df: DataFrame, text: str = "text", model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, terminal = Trie(scores.value), {}
         for batch in batches:
-            words, tokens = [], []
-            for t in batch.column(text).to_pylist():
-                found = [w for w in (t or "").translate(TO_SPACE).split(" ") if w]
-                n = 0
-                for w in found:
-                    k = terminal.get(w)
-                    if k is None:
-                        if len(terminal) >= MAX_NODES // 2:
-                            terminal.clear()
-                        k = terminal[w] = trie.tokens(MARK + w)
-                    n += k
-                words.append(len(found))
-                tokens.append(n)
+            texts = [[MARK + w for w in (t or "").translate(TO_SPACE).split(" ") if w] for t in batch.column(text).to_pylist()]
+            if len(terminal) > MAX_WORDS:
+                terminal.clear()
+            terminal |= trie.counts(set(chain.from_iterable(texts)) - terminal.keys())
+            words, tokens = [len(x) for x in texts], [sum(map(terminal.__getitem__, x)) for x in texts]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[*keep, *into])
 
     return df.mapInArrow(run, with_fields(df.select(*keep), (into[0], "long"), (into[1], "long")))
