@@ -6,7 +6,7 @@ decision is rejected where the relative margin to the runner-up is narrow.
 
 Training reads a bounded sample of labelled rows: per language the ``SAMPLE_DOCS`` rows that are first by digest,
 ``SAMPLE_CHARS`` characters of each (from a place set by the digest), at most ``DICT_BYTES`` in all. Rank limits are
-applied in every input partition before rows meet, so a language with most of the rows is no bottleneck. The
+applied in every input partition and then in ``PARTS`` parts of a language, so one with most of the rows is no bottleneck. The
 dictionaries (``DICT_BYTES`` a language, at most ``MAX_LANGS`` languages) are shipped to the executors with the task.
 
 Prediction reads the whole text, in pieces of ``PIECE_BYTES`` bytes so that the dictionary bears on all of it.
@@ -32,6 +32,8 @@ SAMPLE_DOCS = 400
 SAMPLE_CHARS = 600
 DICT_BYTES = 64_000
 MAX_LANGS = 512
+#: Parts of a language that are cut to the sample's size before they meet.
+PARTS = 32
 PIECE_BYTES = 4_096
 LEVEL = 6
 #: Decisions whose relative margin is below this are rejected by the filtering stage.
@@ -46,8 +48,11 @@ def sample(docs: DataFrame, text: str = "text", label: str = "lang", per_label:
     rows = docs.where(F.col(text).isNotNull() & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
     h = F.xxhash64(text)
     rows = rows.select(F.col(label).alias("lang"), h.alias("h"), F.substring(F.col(text), (F.pmod(h, F.greatest(F.length(text) - chars, F.lit(1))) + 1).cast("int"), F.lit(chars)).alias("piece"))
-    rank = W.partitionBy("lang").orderBy("h", "piece")
-    return rows.dropDuplicates(["lang", "h"]).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_label).drop("rank")
+    rows = rows.groupBy("lang", "h").agg(F.min("piece").alias("piece")).withColumn("part", F.pmod(F.col("h"), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):  # each part of a language is cut first, then what the parts have left
+        rank = W.partitionBy(*by).orderBy("h")
+        rows = rows.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_label).drop("rank")
+    return rows.select("lang", "h", "piece")
 
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang") -> dict[str, bytes]:
