@@ -39,16 +39,17 @@ _SPACE = r"[\\x20\\x09-\\x0D]"
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _repeat_words(words: str) -> str:
+def _repeat_words(column: str, words: str = "ws") -> str:
     """Words that lie in 3-word windows whose text is found twice or more, over the array of words.
 
     Windows are sorted by their text with the place behind, so equal ones are neighbours; the places of repeated
-    windows are sorted, and each adds the words up to the next one, three at most."""
+    windows are sorted, and each adds the words up to the next one, three at most. Arrays that are read at a place are
+    bound by a lambda, so that no optimizer rule can put their making inside another lambda's loop."""
     windows = f"array_sort(transform(sequence(1, size({words}) - 2), i -> named_struct('w', concat_ws(' ', {words}[i - 1], {words}[i], {words}[i + 1]), 'i', i)))"
     repeated = "transform(filter(s, (x, j) -> (j > 0 and s[j - 1].w = x.w) or (j + 1 < size(s) and s[j + 1].w = x.w)), x -> x.i)"
     places = f"transform(array({windows}), s -> array_sort({repeated}))[0]"
     covered = f"aggregate(transform(array({places}), p -> transform(p, (x, j) -> if(j + 1 < size(p), least(3, p[j + 1] - x), 3)))[0], 0L, (a, x) -> a + x)"
-    return f"if(size({words}) < 3, 0L, {covered})"
+    return f"transform(array({column}), {words} -> if(size({words}) < 3, 0L, {covered}))[0]"
 
 
 def figures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -132,9 +133,9 @@ WITH base AS (
 ), lines AS (
   SELECT rid, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l FROM base
 ), windows AS (
-  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM base)
+  SELECT rid, i, x || ' ' || lead(x, 1) OVER p || ' ' || lead(x, 2) OVER p AS x FROM (SELECT rid, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM base) WINDOW p AS (PARTITION BY rid ORDER BY i)
 ), again AS (
-  SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, x) > 1
+  SELECT rid, i FROM windows WHERE x IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, x) > 1
 ), covered AS (
   SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY rid
 ), figures AS (
