@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import configure, mix64, stash, text_bytes, with_fields
+from .common import configure, join_small, mix64, stash, text_bytes, with_fields
 
 LENGTH = 100
 GRAM = 32
@@ -348,7 +348,7 @@ def copies(texts: DataFrame) -> DataFrame:
     found = stash(anchors.mapInArrow(_buckets, FOUND))
     wanted = found.where("bucket")
     large = wanted.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > LARGE).select("gram", F.lit(True).alias("large"))
-    wanted = wanted.join(large, "gram", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    wanted = join_small(wanted, large.checkpoint(), "gram").withColumn("large", F.coalesce("large", F.lit(False)))
     asked = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "start", "count", "large")).alias("asked"))
     fetched = texts.join(asked, "doc", "left").mapInArrow(_fetch, "gram long, doc long, start int, count int, bytes binary")
     bucketed = fetched.repartition(F.col("gram")).sortWithinPartitions("gram", "doc", "start")
