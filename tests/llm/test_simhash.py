@@ -98,3 +98,39 @@ def test_stage_tiles_lose_no_link(spark, rng, monkeypatch):
         texts.append(" ".join(w))
     texts += [words(rng, 100) for _ in range(20)]
     assert sorted(r.doc_id for r in simhash.keep_one(spark, make_docs(spark, texts)).collect()) == [0, *range(40, 60)]
+
+
+def edited(rng, text, changes):
+    w = text.split()
+    for k in rng.sample(range(len(w)), changes):
+        w[k] = f"e{rng.randrange(10**9)}"
+    return " ".join(w)
+
+
+def brute_kept(texts):
+    """Smallest place of every component of exact five-word-shingle similarities of 0.8 or more."""
+    sets, label = [], list(range(len(texts)))
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or (a and 5 * len(a & b) >= 4 * len(a | b)):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return sorted(set(label))
+
+
+def test_stage_decides_by_shingle_similarity(spark, rng, monkeypatch):
+    texts = ["", words(rng, 3)]
+    for n in (8, 9, 12, 20, 50, 100, 300, 600):
+        for k in range(6):
+            texts.append(words(rng, n))
+            texts += [edited(rng, texts[-1], c) for c in range(1, max(2, n // 25))]  # similarities on both sides of 0.8
+            texts.append(" ".join(texts[-1].split()[: n - n // 5 + k % 3]))
+    want = brute_kept(texts)
+    assert 100 < len(want) < len(texts) - 50
+    assert sorted(r.doc_id for r in simhash.keep_one(spark, make_docs(spark, texts)).collect()) == want
+    monkeypatch.setattr(simhash, "BLOCK_MEMBERS", 2)
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 500)
+    assert sorted(r.doc_id for r in simhash.keep_one(spark, make_docs(spark, texts)).collect()) == want
