@@ -2,8 +2,9 @@
 
 1. Every page is parsed into containers. Boilerplate (menus, headers, footers, sidebars, notices, adverts, forms, reader
    comments, scripts, hidden parts) is told by tag, role and class and left out; the rest of a container's text, less
-   the text of its links, is its score. From the body downwards the page follows the container that holds most of
-   the score, as long as one child holds at least ``DOMINANT`` of it.
+   the text of its links, is its score. From the body downwards the page follows the one child that holds all of the
+   score, so only boilerplate and link text is left outside; from there it climbs to the nearest article or main element, or
+   else out of lists, tables and quotes, so that pages of a host with the same frame vote for the same path.
 2. The path of that container, generalised to tags with their first class (digits dropped), is the page's vote,
    and Spark counts votes per host. The path with the most votes wins (ties: the larger score, then the lesser path).
 3. Every page is extracted again with its host's winning path. Where that path is not on the page, or has no text there,
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 
 from .common import configure, join_small, with_fields
 
-DOMINANT = 0.7
 #: HTML elements by their role in a page.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 CONTAINERS = frozenset("html body main article section div td table tbody tr blockquote details figure fieldset center dl ul ol".split())
+#: Parts of an article, not frames of one.
+PIECES = frozenset("table tbody tr td blockquote details figure fieldset center dl ul ol".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LEFT_OUT = frozenset("head title nav header footer aside form menu dialog button select label fieldset".split()) | RAW
@@ -153,8 +155,16 @@ class Page:
             if p not in best or self.score[c] > self.score[best[p]]:
                 best[p] = c
         at = 0
-        while at in best and self.score[best[at]] >= DOMINANT * self.score[at] > 0:
+        while at in best and self.score[best[at]] == self.score[at] > 0:
             at = best[at]
+        tag = lambda c: self.path[c].rpartition(">")[2].partition(".")[0]
+        up = at
+        while up > 0 and tag(up) not in ("article", "main"):
+            up = self.parent[up]
+        if up > 0:
+            return up
+        while at > 0 and tag(at) in PIECES:
+            at = self.parent[at]
         return at
 
     def text(self, chosen: set[int]) -> str:

@@ -120,6 +120,30 @@ def test_extraction_of_odd_pages(source, text):
     assert html_extract.extract(source, None) == text
 
 
+LONG_PART = "words of the long part " * 30
+SHAPES = [
+    f"<article><h1>T</h1><p>The lead.</p>{part}<p>The end.</p></article>"
+    for part in (f"<blockquote>{LONG_PART}</blockquote>", f"<ul><li>{LONG_PART}<li>b</ul>", f"<ol><li>{LONG_PART}</ol>", f"<table><tr><td>{LONG_PART}</td></tr></table>", f"<div class=body><p>{LONG_PART}</p></div>", f"<section><p>{LONG_PART}</p></section>")
+] + [f"<div class=post><h1>T</h1><div class=lead>The lead.</div><div class=text>{LONG_PART}</div><div class=coda>The end.</div></div>"]
+
+
+@pytest.mark.parametrize("article", SHAPES)
+def test_extraction_keeps_what_lies_beside_a_long_part(spark, article):
+    page = f"<body><nav>Menu</nav><div class=frame>{article}<div class=sidebar>Aside</div></div><footer>End</footer></body>"
+    got = html_extract.extract_pages(spark, pages(spark, [(i, "http://h.example/a", page) for i in range(3)])).collect()
+    for r in got:
+        lines = r.text.split("\n")
+        assert lines[:2] == ["T", "The lead."] and lines[-1] == "The end." and LONG_PART.strip() in lines
+        assert not {"Menu", "Aside", "End"} & set(lines)
+
+
+def test_pages_without_a_lead_do_not_outvote_one_with_it(spark):
+    rows = [(i, "http://h.example/a", f"<body><article><div class=body><p>{LONG_PART}</p></div></article></body>") for i in range(3)]
+    rows.append((9, "http://h.example/b", SHAPES[4]))
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark, pages(spark, rows)).collect()}
+    assert got[9] == f"T\nThe lead.\n{LONG_PART.strip()}\nThe end." and got[0] == LONG_PART.strip()
+
+
 def test_extraction_edge_rows(spark):
     rows = [(1, None, None), (1, None, "<p>a</p>"), (None, "x", "<article><p>" + "long " * 50_000 + "</p></article>"), (1, None, "<p>a</p>")]
     got = html_extract.extract_pages(spark, pages(spark, rows).withColumn("text", F.lit(1))).collect()
