@@ -47,8 +47,9 @@ FORMATS = {
     "stripe": r"[rs]k_live_[A-Za-z0-9]{16,}",
 }
 FORMAT = re.compile("|".join(f"(?P<{k}>{v})" for k, v in FORMATS.items()))
-#: Long tokens that hold a digit; judged by their entropy.
-LONG = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{24,200}(?![A-Za-z0-9+/_-])")
+#: Whole runs of any length; those that hold a digit are judged by their entropy.
+LONG = re.compile(r"[A-Za-z0-9+/_-]{24,}")
+DIGIT = re.compile(r"[0-9]")
 MIN_ENTROPY = 3.6
 KINDS = ["assign", "access", "hex", *FORMATS, "random"]
 RANK = {k: i for i, k in enumerate(KINDS)}
@@ -73,7 +74,7 @@ def scan(text: str) -> list[tuple[str, int, int, str]]:
     free = lambda m: all(m.end() <= s or m.start() >= e for s, e in taken)
     further = [(m.lastgroup, m.start(), m.end(), m[0]) for m in FORMAT.finditer(text) if free(m)]
     taken += [(s, e) for _, s, e, _ in further]
-    further += [("random", m.start(), m.end(), m[0]) for m in LONG.finditer(text) if entropy(m[0]) >= MIN_ENTROPY and free(m)]
+    further += [("random", m.start(), m.end(), m[0]) for m in LONG.finditer(text) if DIGIT.search(m[0]) and entropy(m[0]) >= MIN_ENTROPY and free(m)]
     return sorted(found + further, key=lambda x: (x[1], RANK[x[0]]))
 
 

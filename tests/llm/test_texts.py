@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import string
 import zlib
 
 import pytest
@@ -90,6 +91,14 @@ def test_secret_ownership(spark):
     assert secret_scan.secrets_query(spark, make_docs(spark, [])).count() == 0
 
 
+def test_random_tokens_of_any_length():
+    base64 = string.ascii_letters + string.digits + "+/"
+    for n in (23, 24, 200, 201, 5_000):
+        token = "".join(base64[k * 37 % 64] for k in range(n))
+        assert [x for x in secret_scan.scan(f"see {token} there") if x[0] == "random"] == ([("random", 4, 4 + n, token)] if n >= 24 else [])
+    assert secret_scan.scan("abcdefghijklmnopqrstuvwxyz" * 20) == []
+
+
 # HTML extraction
 
 ARTICLE = """<html><head><title>No</title><script>if (a<b) { x = "</p>"; }</script></head><body><header>Top</header><nav><a href=x>Menu</a></nav>
