@@ -4,14 +4,20 @@ Base figures of every text (null: no words): words, their code points, symbols,
 3-word windows. A text fails the base rules with fewer than ``MIN_WORDS`` words or with more than half of its words
 in repeated windows.
 
-Adaptive thresholds. Each figure is turned into an integer ratio per text. Per language and source a mergeable
-quantile sketch is kept of every ratio: counts in bins whose width is at most 1/16 of their lower bound (exact
-below 32), so any quantile is known within 6.25 %. Sketches are tables of (language, source, rule, bin, count): they
-merge by adding counts, partial counts are made before the shuffle, and a hot source has no more rows in them than
-others. A group's cutoff is its ``QUANTILE`` in the sketch, times ``SLACK``, and never stricter than the loosest
-cutoff of the rule's ``FLOOR``; groups with fewer than ``MIN_GROUP`` texts take the cutoffs of the whole corpus.
-Only texts that pass the base rules are in the sketches. The cutoffs are joined to the figures, and a text is
-kept if it passes the base rules and exceeds no cutoff.
+Adaptive thresholds. Each figure is turned into an integer ratio per text. Counts of events (symbols, repeated lines,
+repeated windows) are first lowered by ``SIGMAS`` times their square root, so that a few events in a text are taken for chance,
+however short it is. Per language and source a mergeable quantile sketch is kept of every ratio: counts in bins whose width is
+at most 1/16 of their lower bound (exact below 32), so any quantile is known within 6.25 %. Sketches are tables of
+(language, source, rule, bin, count): they merge by adding counts, partial counts are made before the shuffle, and a hot source has
+no more rows in them than others. Only texts that pass the base rules are in the sketches.
+
+Sketches of small groups say little, so they are merged with weights: a language takes in ``PRIOR`` texts' worth of the corpus,
+and a group ``PRIOR`` texts' worth of its language. It is the same rule for all sizes: a group of ten thousand texts hardly
+moves, one of five mostly follows its language. In the merged sketch a rule's cutoff is its upper quantile plus ``REACH`` times
+the distance from the mirrored lower quantile (at least one unit, as no sketch resolves less), by the levels in ``RULES``: quartiles where
+ordinary texts of a group lie close together and up to a quarter of it may be junk (symbols, long words), the 99th percentile where ordinary
+texts have a long thin tail (repeats). No cutoff is a constant. The cutoffs are joined to the figures, and a text
+is kept if it passes the base rules and exceeds no cutoff.
 
 Null languages and sources are groups of their own. Repeated rows are judged alike.
 """
@@ -20,21 +26,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import configure, join_small
 
 MIN_WORDS = 50
-QUANTILE = (95, 100)
-MIN_GROUP = 100
-#: Rule: (figure and divisor as SQL over the base figures, scaled to an integer; lowest cutoff).
+#: Standard deviations of a count that are put down to chance.
+SIGMAS = 2
+#: Cutoffs lie this many spreads above the upper quantile.
+REACH = 4
+#: Texts' worth of the corpus in a language's sketch, and of the language in a group's; weights are counted in 1/SCALE of a text.
+PRIOR, SCALE = 50, 1024
+
+
+def _sure(count: str) -> str:
+    """A count less what chance may explain."""
+    return f"greatest({count} - cast(floor({SIGMAS} * sqrt({count})) as bigint), 0)"
+
+
+#: Rule: (figure and divisor as SQL over the base figures, scaled to an integer; upper quantile in per cent).
 RULES = {
-    "symbols": ("n_symbols * 10000 div n_words", 1000),
-    "dup_lines": ("n_dup_lines * 10000 div n_words", 100),
-    "repeats": ("n_repeat_words * 10000 div n_words", 2000),
-    "long_words": ("word_chars * 100 div n_words", 1200),
+    "symbols": (f"{_sure('n_symbols')} * 10000 div n_words", 75),
+    "dup_lines": (f"{_sure('n_dup_lines')} * 10000 div n_words", 99),
+    "repeats": (f"{_sure('(n_repeat_words div 3)')} * 10000 div n_words", 99),
+    "long_words": ("word_chars * 100 div n_words", 75),
 }
-#: Cutoffs are this many times the quantile.
-SLACK = 2
 _SPACE = r"[\\x20\\x09-\\x0D]"
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -49,7 +65,10 @@ def _repeat_words(column: str, words: str = "ws") -> str:
     repeated = "transform(filter(s, (x, j) -> (j > 0 and s[j - 1].w = x.w) or (j + 1 < size(s) and s[j + 1].w = x.w)), x -> x.i)"
     places = f"transform(array({windows}), s -> array_sort({repeated}))[0]"
     covered = f"aggregate(transform(array({places}), p -> transform(p, (x, j) -> if(j + 1 < size(p), least(3, p[j + 1] - x), 3)))[0], 0L, (a, x) -> a + x)"
-    return f"transform(array({column}), {words} -> if(size({words}) < 3, 0L, {covered}))[0]"
+    # without two windows of equal hash there is nothing to sort
+    hashes = f"transform(sequence(1, size({words}) - 2), i -> xxhash64({words}[i - 1], {words}[i], {words}[i + 1]))"
+    apart = f"transform(array({hashes}), h -> size(array_distinct(h)) = size(h))[0]"
+    return f"transform(array({column}), {words} -> if(size({words}) < 3, 0L, if({apart}, 0L, {covered})))[0]"
 
 
 def figures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -91,22 +110,36 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("base_failed")).select("lang", "source", each.alias("x")).select("lang", "source", "x.*").groupBy("lang", "source", "rule", "bin").agg(F.count("*").alias("n"))
 
 
-def _quantile(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Group and rule with the top of the bin that holds the quantile, and the number of texts."""
-    bins = sketch.groupBy(*by, "rule").agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("texts"))
-    need = f"(texts * {QUANTILE[0]} + {QUANTILE[1] - 1}) div {QUANTILE[1]}"
-    found = f"aggregate(bins, named_struct('seen', 0L, 'bin', -1L), (a, x) -> named_struct('seen', a.seen + x.n, 'bin', if(a.bin < 0 and a.seen + x.n >= {need}, x.bin, a.bin))).bin"
-    return bins.withColumn("bin", F.expr(found)).select(*by, "rule", "texts", F.expr(bin_top("bin")).alias("top"))
+def merged(sketch: DataFrame) -> DataFrame:
+    """(lang, source, rule, bin, n): each group's sketch with its language and the corpus merged in by their weights."""
+    def shared(outer: DataFrame, own: DataFrame, keys: list[str]) -> DataFrame:
+        """``own`` counts, scaled, and PRIOR texts' worth of ``outer`` (keys, rule, bin, n, total); both have whole numbers."""
+        both = outer.join(own.withColumnRenamed("n", "own"), [*keys, "rule", "bin"], "left")
+        return both.withColumn("n", F.expr(f"{SCALE} * coalesce(own, 0L) + ({PRIOR * SCALE} * n) div total")).drop("own", "total")
+
+    def total(df: DataFrame, *keys: str) -> DataFrame:
+        return df.withColumn("total", F.sum("n").over(W.partitionBy(*keys, "rule")))  # some hundred bins a rule
+
+    langs = sketch.groupBy("lang", "rule", "bin").agg(F.sum("n").alias("n"))
+    corpus = total(langs.groupBy("rule", "bin").agg(F.sum("n").alias("n")))
+    langs = total(shared(langs.select("lang").distinct().join(F.broadcast(corpus)), langs, ["lang"]), "lang").checkpoint()  # the corpus has some hundred bins
+    groups = sketch.select("lang", "source").distinct()
+    return shared(join_small(groups, langs, "lang", "inner"), sketch, ["lang", "source"])
 
 
 def cutoffs(sketch: DataFrame) -> DataFrame:
     """One row per group: lang, source and a cutoff for every rule."""
-    merged = sketch.groupBy("rule", "bin").agg(F.sum("n").alias("n"))
-    corpus = _quantile(merged, []).select("rule", F.col("top").alias("corpus_top"))
-    each = _quantile(sketch, ["lang", "source"]).join(F.broadcast(corpus), "rule")  # one row a rule
-    floor = F.create_map(*[F.lit(x) for k, (_, v) in RULES.items() for x in (k, v)])
-    limit = F.greatest(SLACK * F.when(F.col("texts") >= MIN_GROUP, F.col("top")).otherwise(F.col("corpus_top")), floor[F.col("rule")]).cast("long")
-    return each.withColumn("cutoff", limit).groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == k, F.col("cutoff"))).alias(f"max_{k}") for k in RULES])
+    bins = merged(sketch).groupBy("lang", "source", "rule").agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("total"))
+    level = F.create_map(*[F.lit(x) for k, (_, v) in RULES.items() for x in (k, v)])
+    bins = bins.withColumn("level", level[F.col("rule")].cast("long"))
+
+    def quantile(level: str) -> str:
+        found = f"aggregate(bins, named_struct('seen', 0L, 'bin', -1L), (a, x) -> named_struct('seen', a.seen + x.n, 'bin', if(a.bin < 0 and (a.seen + x.n) * 100 >= total * {level}, x.bin, a.bin))).bin"
+        return bin_top(found)
+
+    each = bins.select("lang", "source", "rule", F.expr(quantile("level")).alias("high"), F.expr(quantile("(100 - level)")).alias("low"))
+    each = each.withColumn("cutoff", F.expr(f"high + {REACH} * greatest(high - low, 1)").cast("long"))
+    return each.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == k, F.col("cutoff"))).alias(f"max_{k}") for k in RULES])
 
 
 def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -124,8 +157,7 @@ def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 _SQL_RULES = {k: v.replace(" div ", " // ") for k, (v, _) in RULES.items()}
 _SQL_BIN = lambda v: f"greatest(length(bin({v})) - 5, 0) * 16 + (({v}) >> greatest(length(bin({v})) - 5, 0))"
-_SQL_TOP = "(((bin - greatest(bin // 16 - 1, 0) * 16 + 1) << greatest(bin // 16 - 1, 0)) - 1)"
-_NEED = f"(texts * {QUANTILE[0]} + {QUANTILE[1] - 1}) // {QUANTILE[1]}"
+_SQL_TOP = lambda b: f"((({b} - greatest({b} // 16 - 1, 0) * 16 + 1) << greatest({b} // 16 - 1, 0)) - 1)"
 ORACLE = f"""
 WITH base AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t,
@@ -146,18 +178,26 @@ WITH base AS (
 ), rows_ AS (
   SELECT * EXCLUDE wc, coalesce(wc, 0)::BIGINT AS word_chars, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures
 ), ratios AS (
-  {" UNION ALL ".join(f"SELECT rid, lang, source, '{k}' AS rule, {v} AS ratio, {RULES[k][1]} AS floor FROM rows_ WHERE NOT base_failed" for k, v in _SQL_RULES.items())}
+  {" UNION ALL ".join(f"SELECT rid, lang, source, '{k}' AS rule, {v} AS ratio FROM rows_ WHERE NOT base_failed" for k, v in _SQL_RULES.items())}
 ), sketch AS (
-  SELECT lang, source, rule, floor, {_SQL_BIN("ratio")} AS bin, count(*) AS n FROM ratios GROUP BY ALL
-), own AS (
-  SELECT lang, source, rule, any_value(floor) AS floor, any_value(texts) AS texts, min(bin) FILTER (seen >= {_NEED}) AS bin
-  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY lang, source, rule) AS texts FROM sketch) GROUP BY lang, source, rule
-), whole AS (
-  SELECT rule, min(bin) FILTER (seen >= {_NEED}) AS bin
-  FROM (SELECT *, sum(n) OVER (PARTITION BY rule ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY rule) AS texts FROM (SELECT rule, bin, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY rule
+  SELECT lang, source, rule, {_SQL_BIN("ratio")} AS bin, count(*)::BIGINT AS n FROM ratios GROUP BY ALL
+), langs AS (
+  SELECT lang, rule, bin, sum(n)::BIGINT AS n FROM sketch GROUP BY ALL
+), corpus AS (
+  SELECT rule, bin, sum(n)::BIGINT AS n, (sum(sum(n)) OVER (PARTITION BY rule))::BIGINT AS total FROM langs GROUP BY rule, bin
+), wide AS (
+  SELECT lang, rule, bin, {SCALE} * coalesce(l.n, 0) + ({PRIOR * SCALE} * c.n) // c.total AS n
+  FROM (SELECT DISTINCT lang FROM langs) CROSS JOIN corpus c LEFT JOIN langs l USING (lang, rule, bin)
+), merged AS (
+  SELECT lang, source, rule, bin, {SCALE} * coalesce(s.n, 0) + ({PRIOR * SCALE} * w.n) // w.total AS n
+  FROM (SELECT DISTINCT lang, source FROM sketch) JOIN (SELECT *, (sum(n) OVER (PARTITION BY lang, rule))::BIGINT AS total FROM wide) w USING (lang) LEFT JOIN sketch s USING (lang, source, rule, bin)
+), seen AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY lang, source, rule) AS total,
+         CASE rule {" ".join(f"WHEN '{k}' THEN {v}" for k, (_, v) in RULES.items())} END AS level FROM merged
+), bounds AS (
+  SELECT lang, source, rule, min(bin) FILTER (seen * 100 >= total * level) AS high, min(bin) FILTER (seen * 100 >= total * (100 - level)) AS low FROM seen GROUP BY ALL
 ), limits AS (
-  SELECT lang, source, own.rule, greatest({SLACK} * CASE WHEN texts >= {MIN_GROUP} THEN {_SQL_TOP.replace("bin", "own.bin")} ELSE {_SQL_TOP.replace("bin", "whole.bin")} END, floor) AS cutoff
-  FROM own JOIN whole ON own.rule = whole.rule
+  SELECT lang, source, rule, {_SQL_TOP("high")} + {REACH} * greatest({_SQL_TOP("high")} - {_SQL_TOP("low")}, 1) AS cutoff FROM bounds
 ), over AS (
   SELECT DISTINCT rid FROM ratios JOIN limits USING (lang, source, rule) WHERE ratio > cutoff
 )

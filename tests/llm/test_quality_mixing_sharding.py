@@ -1,5 +1,7 @@
 """The operators that SQL expresses, against their DuckDB queries on small tables with odd rows."""
 
+import os
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,8 @@ from routelore.llm import mixing, quality, sharding
 
 from .conftest import DOCS, words
 
+TABLES = "/root/testdata/sf0.01"
+
 
 @pytest.fixture
 def rows(rng):
@@ -55,6 +59,33 @@ def test_sketches_merge(spark, rows):
     assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
 
 
+def test_cutoffs_follow_the_group(spark, rng):
+    def text(symbols, repeats, width):
+        ws = [f"w{rng.randrange(10**6)}" + "x" * rng.randrange(width, width + 3) for _ in range(150)]
+        for _ in range(rng.randrange(symbols + 1)):
+            ws[rng.randrange(150)] += "#"
+        return " ".join(ws + ws[:3] * rng.randrange(repeats + 1))
+
+    habits = {"prose": (0, 1, 2), "code": (120, 9, 2), "terms": (0, 1, 9)}
+    rows = [(i, text(*habits[s]), "en", s, 0) for i in range(900) for s in [list(habits)[i % 3]]]
+    rows += [(1000 + i, text(120, 0, 2).replace("w", "w#"), "en", "prose", 0) for i in range(30)] + [(2000, text(0, 0, 2), "en", "tiny", 0)]
+    df = quality.figures(spark.createDataFrame(rows, DOCS)).withColumn("base_failed", quality.base_failed())
+    cut = {r.source: r.asDict() for r in quality.cutoffs(quality.sketches(df)).collect()}
+    for rule, more in (("symbols", "code"), ("repeats", "code"), ("long_words", "terms")):
+        assert cut[more][f"max_{rule}"] > 1.2 * cut["prose"][f"max_{rule}"], rule
+    assert cut["tiny"]["max_long_words"] > cut["prose"]["max_long_words"]  # one text follows its language
+    kept = {r.doc_id for r in quality.judge(spark, spark.createDataFrame(rows, DOCS)).where("kept").collect()}
+    assert len([i for i in kept if i < 900]) >= 895 and not [i for i in kept if 1000 <= i < 2000] and 2000 in kept
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no tables here")
+def test_quality_against_labels(spark):
+    labels = spark.read.parquet(f"{TABLES}/labels.parquet")
+    found = quality.judge(spark, spark.read.parquet(f"{TABLES}/documents.parquet")).join(labels, "doc_id").where("not base_failed")
+    n = {(r.quality, r.kept): r["count"] for r in found.groupBy("quality", "kept").count().collect()}
+    assert n.get((0, True), 0) <= 0.1 * n[0, False] and n.get((1, False), 0) <= 0.01 * n[1, True]
+
+
 @pytest.mark.parametrize("some", [True, False])
 def test_mixing(spark, rows, some, monkeypatch):
     rows = rows if some else []
