@@ -1,19 +1,21 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
-Test items and documents are sets of shingles of ``WORDS`` lower-case words. An item is contained in a document when
+Test items and documents are sets of shingles of ``WORDS`` lower-case words; an item of fewer words is one shingle of them all,
+and is looked for among the document's runs of so many words. An item is contained in a document when
 at least ``THRESHOLD`` of its distinct shingles are in it. A short item inside a long document has next to no Jaccard
-similarity with the whole of it, so items are partitioned by size into classes (at most 8, 16, 32, ... shingles), and
-for the class of size u a document is seen as windows of 2u shingles, one every u. Any run of u shingles
+similarity with the whole of it, so items are partitioned by size into classes (1, 2, at most 4, 8, 16, ... shingles). The minimum
+of one shingle is the shingle itself under any permutation, so the first class is looked up as it is. For the class of size u a document is seen as windows of 2u shingles, one every u. Any run of u shingles
 lies in one window, where the similarity to a contained item is high enough for MinHash. One pass computes the
-minima of ``PERMUTATIONS`` hash permutations over runs of 8 shingles; those of larger windows are minima of these.
+minima of ``PERMUTATIONS`` hash permutations over runs as long as the smallest class; those of larger windows are minima of these.
 A document is a candidate for an item when they share a minimum in some window. With a similarity of at least
-0.8(u/2) / (2u + 0.2u/2) > 0.19 the chance to miss an item that is contained in one window is below 0.81 ** 48 = 4e-5.
+0.8(u/2) / (2u + 0.2u/2) > 0.19 the chance to miss an item that is contained in one window is below 0.81 ** 48 = 4e-5;
+items of one shingle are never missed.
 Every candidate is then verified: distinct shingles of the item that are in the whole document, by their text.
 
 Items are a stated query set: they are handed to the executors in blocks of at most ``BLOCK_ITEMS`` rows and
 ``BLOCK_CHARS`` characters, one pass over the documents a block. Texts are never shuffled, a document is judged by itself,
-so hot sources and copies skew nothing. Texts with fewer words than a shingle have one shingle, of all words; texts
-without words have none and are in no pair. Nulls are empty texts. Repeated rows give repeated pairs.
+so hot sources and copies skew nothing. Texts without words have no shingle and are in no pair. Nulls are empty texts; items whose
+id is null are searched like any other. Repeated rows give repeated pairs.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ from .common import configure, mix64, with_fields
 WORDS = 5
 THRESHOLD = 0.8
 PERMUTATIONS = 48
-SMALLEST = 8
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 32_000_000
 TOKEN = re.compile(r"\w+")
@@ -44,7 +45,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def shingles_of(words: list[str], n: int = WORDS) -> list[str]:
-    return [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
+    return [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)]
 
 
 class WordHashes:
@@ -66,9 +67,8 @@ class WordHashes:
                     known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
             h = [known[w] for w in words]
         x = np.array(h, np.uint64)
-        m = min(n, len(x))
-        out = np.zeros(max(0, len(x) - m + 1) if len(x) else 0, np.uint64)
-        for k in range(m):
+        out = np.zeros(max(0, len(x) - n + 1), np.uint64)
+        for k in range(n):
             out = out * np.uint64(0x9E3779B97F4A7C15) + mix64(x[k : k + len(out)])
         return mix64(out)
 
@@ -87,59 +87,75 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], n: int = WORDS, threshold: float = THRESHOLD) -> None:
         self.n, self.threshold, self.hashes, self.seeds = n, threshold, WordHashes(), seeds()
-        self.ids, self.sets = [i for i, _ in items], []
-        sizes = []
+        self.ids, self.sets, self.lengths = [i for i, _ in items], [], []
+        hashed = []
         for _, text in items:
             words = words_of(text)
-            self.sets.append(frozenset(shingles_of(words, n)))
-            sizes.append((len(self.sets[-1]), np.unique(self.hashes.shingles(words, n))))
+            self.lengths.append(max(1, min(n, len(words))))  # words of the item's shingles
+            self.sets.append(frozenset(shingles_of(words, self.lengths[-1])))
+            hashed.append(np.unique(self.hashes.shingles(words, self.lengths[-1])))
+        sizes = [len(x) for x in self.sets]
+        #: Items of one shingle by its words: (sorted hashes, item numbers).
+        self.single: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for m in {m for m, k in zip(self.lengths, sizes, strict=True) if k == 1}:
+            mine = np.array([j for j, k in enumerate(sizes) if k == 1 and self.lengths[j] == m])
+            keys = np.array([hashed[j][0] for j in mine], np.uint64)
+            self.single[m] = (np.sort(keys), mine[keys.argsort(kind="stable")])
         self.classes: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
-        for u in sorted({self._class(k) for k, _ in sizes if k}):
-            mine = [j for j, (k, _) in enumerate(sizes) if k and self._class(k) == u]
-            minima = np.array([[permuted(sizes[j][1], s).min() for s in self.seeds] for j in mine])
+        for u in sorted({self._class(k) for k in sizes if k > 1}):
+            mine = [j for j, k in enumerate(sizes) if k > 1 and self._class(k) == u]
+            minima = np.array([[permuted(hashed[j], s).min() for s in self.seeds] for j in mine])
             order = minima.argsort(axis=0, kind="stable")
             self.classes[u] = ([minima[order[:, p], p] for p in range(PERMUTATIONS)], [np.array(mine)[order[:, p]] for p in range(PERMUTATIONS)])
 
     @staticmethod
     def _class(size: int) -> int:
-        return max(SMALLEST, 1 << (size - 1).bit_length())
+        return 1 << (size - 1).bit_length()
+
+    @staticmethod
+    def _hits(owner: np.ndarray, values: np.ndarray, keys: np.ndarray, items: np.ndarray, found: set[tuple[int, int]]) -> None:
+        """Adds (owner, item) of every value that is among the sorted keys."""
+        lo = np.searchsorted(keys, values, "left")
+        hit = np.flatnonzero((lo < len(keys)) & (keys[np.minimum(lo, len(keys) - 1)] == values))
+        for w in hit.tolist():
+            j = int(lo[w])
+            while j < len(keys) and keys[j] == values[w]:
+                found.add((int(owner[w]), int(items[j])))
+                j += 1
 
     def candidates(self, texts: list[list[str]]) -> set[tuple[int, int]]:
         """(text, item) numbers that share a window minimum."""
+        found: set[tuple[int, int]] = set()
+        for m, (keys, items) in self.single.items():
+            hashed = [self.hashes.shingles(w, m) for w in texts]
+            self._hits(np.repeat(np.arange(len(texts)), [len(h) for h in hashed]), np.concatenate(hashed), keys, items, found)
+        if not self.classes:
+            return found
         hashed = [self.hashes.shingles(w, self.n) for w in texts]
         used = [k for k, h in enumerate(hashed) if len(h)]
-        if not used or not self.classes:
-            return set()
-        largest = max(self.classes)
-        runs = [-(-len(hashed[k]) // SMALLEST) for k in used]  # each text is padded to whole runs
+        if not used:
+            return found
+        smallest, largest = min(self.classes), max(self.classes)
+        runs = [-(-len(hashed[k]) // smallest) for k in used]  # each text is padded to whole runs
         total = sum(runs)
-        flat = np.zeros(total * SMALLEST, np.uint64)
-        pad = np.ones(total * SMALLEST, bool)
-        at, bounds = 0, [0]
+        flat = np.zeros(total * smallest, np.uint64)
+        pad = np.ones(total * smallest, bool)
+        at = 0
         for k, r in zip(used, runs, strict=True):
-            flat[at * SMALLEST : at * SMALLEST + len(hashed[k])] = hashed[k]
-            pad[at * SMALLEST : at * SMALLEST + len(hashed[k])] = False
+            flat[at * smallest : at * smallest + len(hashed[k])] = hashed[k]
+            pad[at * smallest : at * smallest + len(hashed[k])] = False
             at += r
-            bounds.append(at)
-        found: set[tuple[int, int]] = set()
         owner = np.repeat(np.array(used), runs)
         for p in range(PERMUTATIONS):
             v = permuted(flat, self.seeds[p])
             v[pad] = TOP
-            level, own, u = v.reshape(-1, SMALLEST).min(axis=1), owner, SMALLEST
+            level, own, u = v.reshape(-1, smallest).min(axis=1), owner, smallest
             while True:
                 if u in self.classes:
-                    minima, items = (x[p] for x in self.classes[u])
                     window = level.copy()
                     same = own[1:] == own[:-1]
                     window[:-1][same] = np.minimum(level[:-1], level[1:])[same]
-                    lo = np.searchsorted(minima, window, "left")
-                    hit = np.flatnonzero((lo < len(minima)) & (minima[np.minimum(lo, len(minima) - 1)] == window))
-                    for w in hit.tolist():
-                        j = int(lo[w])
-                        while j < len(minima) and minima[j] == window[w]:
-                            found.add((int(own[w]), int(items[j])))
-                            j += 1
+                    self._hits(own, window, *(x[p] for x in self.classes[u]), found)
                 if u >= largest:
                     break
                 # runs are joined in pairs inside each text
@@ -156,9 +172,11 @@ class Index:
         words = [words_of(t) for t in texts]
         out, held = [], {}
         for k, j in sorted(self.candidates(words)):
-            if k not in held:
-                held = {k: frozenset(shingles_of(words[k], self.n))}
-            shared = len(self.sets[j] & held[k])
+            if (k, m := self.lengths[j]) not in held:
+                if held and next(iter(held))[0] != k:
+                    held = {}  # one text's sets at a time
+                held[k, m] = frozenset(shingles_of(words[k], m))
+            shared = len(self.sets[j] & held[k, m])
             if shared >= self.threshold * len(self.sets[j]) - 1e-9:
                 out.append((k, self.ids[j], shared, len(self.sets[j])))
         return out
@@ -167,7 +185,7 @@ class Index:
 def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Blocks of the query set, of bounded rows and characters, read one partition at a time."""
     block, chars = [], 0
-    for r in items.where(F.col("item_id").isNotNull()).select("item_id", F.coalesce("text", F.lit("")).alias("text")).toLocalIterator():
+    for r in items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).toLocalIterator():
         if block and (len(block) >= BLOCK_ITEMS or chars + len(r["text"]) > BLOCK_CHARS):
             yield block
             block, chars = [], 0
