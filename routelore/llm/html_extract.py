@@ -1,10 +1,12 @@
 """Main-text extraction by consensus host paths.
 
-1. Every page is parsed into containers. Boilerplate (menus, headers, footers, sidebars, notices, adverts, forms, reader
-   comments, scripts, hidden parts) is told by tag, role and class and left out; the rest of a container's text, less
-   the text of its links, is its score. From the body downwards the page follows the one child that holds all of the
-   score, so only boilerplate and link text is left outside; from there it climbs to the nearest article or main element, or
-   else out of lists, tables and quotes, so that pages of a host with the same frame vote for the same path.
+1. Every page is parsed into containers by one linear scan. Boilerplate (menus, headers, footers, sidebars, notices, adverts,
+   forms, reader comments, scripts, hidden parts) is told by tag, role and class; the rest of a container's text, less
+   the text of its links, is its score. A form, a header or a class name may be a frame around the article itself, so these only
+   mark a part: a marked part that holds a heading, article or main element and more text than all that is unmarked is no boilerplate,
+   nor is the largest one where nothing but headings is left without it. From the body downwards the page follows the one child that holds
+   all of the score, so only boilerplate and link text is left outside; from there it climbs to the nearest article or main
+   element, or else out of lists, tables and quotes, so that pages of a host with the same frame vote for the same path.
 2. The path of that container, generalised to tags with their first class (digits dropped), is the page's vote,
    and Spark counts votes per host. The path with the most votes wins (ties: the larger score, then the lesser path).
 3. Every page is extracted again with its host's winning path. Where that path is not on the page, or has no text there,
@@ -13,20 +15,24 @@
 The text is that of all containers on the path, in page order: one line a block, white space inside a block turned into
 one space, character references decoded. Nothing is capped. Null pages have no text; pages without a known host
 vote together under ''. Votes are counted in every task before they are shuffled; the winners are broadcast when they
-are few, and joined by shuffle otherwise.
+are few, and joined under ``SALTS`` salts otherwise, so that no host is a hot task. Unclosed tags and quotes cost no second scan.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import configure, join_small, with_fields
+from .common import BROADCAST_ROWS, configure, with_fields
+
+#: Salts of a host, where hosts are too many to be broadcast.
+SALTS = 64
 
 #: HTML elements by their role in a page.
 BLOCKS = frozenset(
@@ -36,116 +42,200 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset("html body main article section div td table tbody tr blockquote details figure fieldset center dl ul ol".split())
 #: Parts of an article, not frames of one.
 PIECES = frozenset("table tbody tr td blockquote details figure fieldset center dl ul ol".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video xmp noembed noframes".split())
+#: Elements whose content is no markup.
+RAW = frozenset("script style textarea iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LEFT_OUT = frozenset("head title nav header footer aside form menu dialog button select label fieldset".split()) | RAW
+LEFT_OUT = frozenset("head title nav footer aside menu dialog button select label fieldset noscript template svg math object canvas audio video".split())
+#: Elements that may also be a frame of the article.
+MARKED = frozenset("form header".split())
+FRAMES = frozenset("article main h1".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Class and id words of boilerplate; the second set counts only where no word of the third is beside it.
 STRONG = frozenset("ad ads adv advert adverts advertisement advertising adbox breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter pager pagination popup promo promos related respond share sharing signup social sponsor sponsored subscribe toolbar".split())
 WEAK = frozenset("alert aside banner bar form header login masthead notice notices notification reply search side sidebar tags widget widgets".split())
 POSITIVE = frozenset("article body content entry main post story text".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
-ATTR = re.compile(r"""([a-zA-Z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: A quote opens a value only behind an equals sign. What was matched is never given back, so the scan is linear; of a quote that
+#: nothing closes (there is one of each kind at most) only its tag is taken.
+TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|(/?)([a-zA-Z][^\s/>]*+)((?>[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|["'][^>]*+|[^\s>]*+))*+)(?:>|\Z)|[!?/][^>]*+(?:>|\Z))""", re.S)
+ATTR = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: A new element of the first kind closes an open one of these, up to the nearest container.
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 
 
-def boilerplate(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in LEFT_OUT:
-        return True
-    if tag in ("html", "body", "main") or not attrs:
-        return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in LEFT_OUT_ROLES or HIDDEN.search(attrs.get("style", "")):
-        return True
-    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
-        words = {p.lower() for p in PARTS.findall(name)}
-        if words & STRONG or (words & WEAK and not words & POSITIVE):
-            return True
-    return False
+#: Marks of an element: a part of the article, boilerplate unless it frames the article, boilerplate.
+PLAIN, DOUBTFUL, OUT = range(3)
+
+
+def mark(tag: str, attrs: dict[str, str], sectioned: bool) -> int:
+    """``sectioned``: inside an article or main element, where a header is the article's own."""
+    if tag in LEFT_OUT or "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style", "")):
+        return OUT
+    if tag in ("html", "body", "main"):
+        return PLAIN
+    if tag == "form" or (tag == "header" and not sectioned) or attrs.get("role", "").lower() in LEFT_OUT_ROLES:
+        return DOUBTFUL
+    names = [{p.lower() for p in PARTS.findall(name)} for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split()]
+    if tag == "article" and any(words & POSITIVE for words in names):
+        return PLAIN
+    return DOUBTFUL if any(words & STRONG or (words & WEAK and not words & POSITIVE) for words in names) else PLAIN
+
+
+def attributes(raw: str) -> dict[str, str]:
+    """Names in lower case with their values; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, value in ATTR.findall(raw):
+        quoted = len(value) > 1 and value[0] in "\"'" and value[-1] == value[0]
+        found.setdefault(name.lower(), html.unescape(value[1:-1] if quoted else value))
+    return found
 
 
 class Page:
-    """Blocks of a page with their containers."""
+    """Blocks of a page with their nodes: containers and marked parts, each behind its parent."""
 
-    __slots__ = ("blocks", "parent", "path", "score")
+    __slots__ = ("blocks", "frames", "label", "marks", "parent", "score")
 
     def __init__(self, source: str) -> None:
-        self.parent, self.path, self.blocks = [-1], ["html"], []  # blocks: (container, text, characters of links)
-        stack = [("html", 0, False)]  # (tag, container, left out)
+        self.parent, self.label, self.marks, self.frames = [-1], ["html"], [PLAIN], {0}
+        self.blocks: list[tuple[int, str, int, bool]] = []  # (node, text, characters of links, heading)
+        self._parse(source)
+        self._clean()
+        self.score = [0] * len(self.parent)
+        for c, line, linked, _ in self.blocks:
+            self.score[c] += max(0, len(line) - linked)
+        for c in range(len(self.parent) - 1, 0, -1):
+            self.score[self.parent[c]] += self.score[c]
+
+    def _parse(self, source: str) -> None:
+        stack = [("html", 0)]  # (tag, node)
+        opened: Counter[str] = Counter()
         text, links, in_link, pos = [], 0, False, 0
+        last = source.rfind(">") + 1  # no tag ends behind
 
         def flush() -> None:
             nonlocal text, links
             if text:
                 line = " ".join(html.unescape("".join(text)).split())
                 if line:
-                    self.blocks.append((stack[-1][1], line, links))
+                    self.blocks.append((stack[-1][1], line, links, stack[-1][0] in HEADINGS))
                 text, links = [], 0
 
         def say(s: str) -> None:
             nonlocal links
-            if not stack[-1][2]:
-                text.append(s)
-                if in_link:
-                    links += len(s.strip())
+            text.append(s)
+            if in_link:
+                links += len(s.strip())
 
-        while True:
-            m = TAG.search(source, pos)
-            if m is None:
-                say(source[pos:])
-                break
+        def pop(k: int) -> None:
+            for tag, _ in stack[k:]:
+                opened[tag] -= 1
+            del stack[k:]
+
+        while m := TAG.search(source, pos, last):
             if m.start() > pos:
                 say(source[pos : m.start()])
             pos = m.end()
-            tag = m[2] or m[5]
-            if not tag:
+            if not m[2]:
                 continue
-            tag, closing = tag.lower(), bool(m[1] or m[4])
+            tag, closing = m[2].lower(), bool(m[1])
             if tag == "br" or tag == "wbr":
                 say(" " if tag == "br" else "")
             elif tag == "a":
                 in_link = not closing
-            elif closing:
-                if tag in BLOCKS or tag in LEFT_OUT:
-                    k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-                    flush()
-                    if k:
-                        del stack[k:]
-                        in_link = False
             elif tag in RAW:
-                if not (m[3] or m[6] or "").endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, pos)
+                if not closing and not m[3].endswith("/"):
+                    end = RAW_END[tag].search(source, pos)
                     pos = end.end() if end else len(source)
+                    last = max(last, pos)
             elif tag in BLOCKS or tag in LEFT_OUT:
-                raw = m[3] if m[2] else m[6]
-                attrs = {a.lower(): v.strip("\"'") for a, v in ATTR.findall(raw)} if raw and raw.strip(" /") else {}
-                if tag in VOID:
-                    flush()
-                    continue
                 flush()
+                if closing:
+                    if opened[tag]:
+                        k = len(stack) - 1
+                        while stack[k][0] != tag:
+                            k -= 1
+                        pop(k)
+                        in_link = False
+                    continue
+                if tag in VOID or (m[3].endswith("/") and tag not in BLOCKS):
+                    continue
                 in_link = False
                 if stack[-1][0] == "p":  # a paragraph ends where another block begins
-                    stack.pop()
-                elif tag in CLOSES and stack[-1][0] in CLOSES[tag]:
+                    pop(len(stack) - 1)
+                elif tag in CLOSES:
                     while stack[-1][0] in CLOSES[tag]:
-                        stack.pop()
-                out, inside = stack[-1][2] or boilerplate(tag, attrs), stack[-1][1]
-                if tag in CONTAINERS and tag != "html":
-                    first = re.sub(r"\d+", "", (attrs.get("class", "").split() or [""])[0])
-                    self.parent.append(inside)
-                    self.path.append(f"{self.path[inside]}>{tag}" + (f".{first}" if first else ""))
-                    inside = len(self.parent) - 1
-                if tag != "html":
-                    stack.append((tag, inside, out))
+                        pop(len(stack) - 1)
+                attrs, node = attributes(m[3]) if m[3].strip(" /") else {}, stack[-1][1]
+                if tag == "html":
+                    continue
+                marked = mark(tag, attrs, bool(opened["article"] or opened["main"]))
+                if tag in CONTAINERS or marked != PLAIN:
+                    first = re.sub(r"[\d>]+", "", (attrs.get("class", "").split() or [""])[0])
+                    self.parent.append(node)
+                    self.label.append(tag + (f".{first}" if first else ""))
+                    self.marks.append(marked)
+                    node = len(self.parent) - 1
+                if tag in FRAMES:
+                    self.frames.add(node)
+                stack.append((tag, node))
+                opened[tag] += 1
+        say(source[pos:])
         flush()
-        self.score = [0] * len(self.parent)
-        for c, line, linked in self.blocks:
-            self.score[c] += max(0, len(line) - linked)
-        for c in range(len(self.parent) - 1, 0, -1):
-            self.score[self.parent[c]] += self.score[c]
+
+    def _clean(self) -> None:
+        """Keeps the blocks outside boilerplate. A doubtful part that frames the article is cleared; each clearing more than
+        doubles the text that is kept, so there are few."""
+        n = len(self.parent)
+        out, inner = [False] * n, [0] * n  # in a part that is out; the innermost doubtful part
+        for c in range(1, n):
+            out[c] = out[self.parent[c]] or self.marks[c] == OUT
+            inner[c] = c if self.marks[c] == DOUBTFUL else inner[self.parent[c]]
+        blocks = [b for b in self.blocks if not out[b[0]]]
+        if not any(self.marks[c] == DOUBTFUL for c in range(n)):
+            self.blocks = blocks
+            return
+        text, body = [0] * n, [0] * n  # by innermost doubtful part (0: none); without headings
+        for c, line, linked, heading in blocks:
+            text[inner[c]] += max(0, len(line) - linked)
+            body[inner[c]] += 0 if heading else max(0, len(line) - linked)
+        framed = {inner[c] for c in self.frames}
+        while True:
+            found = [c for c in range(1, n) if inner[c] == c and not out[c] and text[c] and (body[0] == 0 < body[c] or (c in framed and text[c] > text[0]))]
+            if not found:
+                break
+            at = max(found, key=lambda c: (c in framed, text[c], -c))
+            while at:  # with all that it lies in
+                self.marks[at] = PLAIN
+                at = self.parent[at]
+            text, body = [0] * n, [0] * n
+            for c in range(1, n):
+                inner[c] = c if self.marks[c] == DOUBTFUL else inner[self.parent[c]]
+            for c, line, linked, heading in blocks:
+                text[inner[c]] += max(0, len(line) - linked)
+                body[inner[c]] += 0 if heading else max(0, len(line) - linked)
+            framed = {inner[c] for c in self.frames}
+        self.blocks = [b for b in blocks if not inner[b[0]]]
+
+    def path(self, c: int) -> str:
+        """Labels from the root to a node."""
+        names = []
+        while c >= 0:
+            names.append(self.label[c])
+            c = self.parent[c]
+        return ">".join(reversed(names))
+
+    def at(self, path: str) -> set[int]:
+        """Nodes with that path."""
+        names, depth = path.split(">"), [0] * len(self.parent)  # labels that agree so far, or none
+        depth[0] = int(self.label[0] == names[0])
+        for c in range(1, len(self.parent)):
+            d = depth[self.parent[c]]
+            depth[c] = d + 1 if 0 < d < len(names) and self.label[c] == names[d] else 0
+        return {c for c, d in enumerate(depth) if d == len(names)}
 
     def choice(self) -> int:
         """The container that the page itself would take."""
@@ -157,7 +247,7 @@ class Page:
         at = 0
         while at in best and self.score[best[at]] == self.score[at] > 0:
             at = best[at]
-        tag = lambda c: self.path[c].rpartition(">")[2].partition(".")[0]
+        tag = lambda c: self.label[c].partition(".")[0]
         up = at
         while up > 0 and tag(up) not in ("article", "main"):
             up = self.parent[up]
@@ -171,12 +261,12 @@ class Page:
         inside = [c in chosen for c in range(len(self.parent))]
         for c in range(1, len(self.parent)):
             inside[c] = inside[c] or inside[self.parent[c]]
-        return "\n".join(line for c, line, _ in self.blocks if inside[c])
+        return "\n".join(line for c, line, *_ in self.blocks if inside[c])
 
 
 def extract(source: str | None, winner: str | None) -> str:
     page = Page(source or "")
-    text = page.text({c for c, p in enumerate(page.path) if p == winner}) if winner else ""
+    text = page.text(page.at(winner)) if winner else ""
     return text or page.text({page.choice()})
 
 
@@ -197,7 +287,7 @@ def votes(spark: SparkSession, pages: DataFrame) -> DataFrame:
                 page = Page(source or "")
                 c = page.choice()
                 if page.score[c]:
-                    v = counted.setdefault((host_of(url), page.path[c]), [0, 0])
+                    v = counted.setdefault((host_of(url), page.path(c)), [0, 0])
                     v[0] += 1
                     v[1] += page.score[c]
             rows = [(h, p, n, s) for (h, p), (n, s) in counted.items()]
@@ -219,8 +309,13 @@ def extract_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     configure(spark)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
     best = winners(votes(spark, pages)).checkpoint()
-    rows = join_small(pages.select("page_id", "url", "html", host.alias("host")), best, "host")
-    kept = rows.select("page_id", "url", "host", "html", "winner")
+    rows = pages.select("page_id", "url", "html", host.alias("host"))
+    if best.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        kept = rows.join(F.broadcast(best), "host", "left")
+    else:
+        salted = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        kept = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
+    kept = kept.select("page_id", "url", "host", "html", "winner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

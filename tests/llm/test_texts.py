@@ -1,7 +1,9 @@
 """Language ID, secret scans, HTML extraction and token counts: brute force, accuracy and odd rows."""
 
 import hashlib
+import random
 import re
+import time
 import string
 import zlib
 
@@ -146,6 +148,64 @@ def test_extraction_keeps_what_lies_beside_a_long_part(spark, article):
         assert not {"Menu", "Aside", "End"} & set(lines)
 
 
+BODY = "<h1>T</h1><p>Article text, it's long enough.</p><p>second</p>"
+TEXT = "T\nArticle text, it's long enough.\nsecond"
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    (f"<article class='post type-post comments-open has-share'>{BODY}</article><div class=comments><p>Words of a reader, a lot of them, more than of the article itself. And more.</p></div>", TEXT),
+    (f"<article class='comments-open has-share'>{BODY}</article><footer>End</footer>", TEXT), (f"<div class='social-policy'>{BODY}</div>", TEXT), (f"<div class=nav-tabs-content>{BODY}</div>", TEXT),
+    (f"<h1>T</h1><form action=x><p>Article text, it's long enough.</p><p>second</p><label>Name</label><select><option>1</select></form>", TEXT),
+    (f"<body><form id=aspnet><div class=header><a href=x>Home</a></div><div class=main><div class='share-buttons'>Share</div>{BODY}</div></form></body>", TEXT),
+    ("<div class=john's><p>Article text, it's great.</p></div><p>second</p>", "Article text, it's great.\nsecond"), ("<p data-x='a'b\"c>one</p><p>it's \"two\"</p>", "one\nit's \"two\""),
+    (f"<article><header><h1>T</h1></header><p>Article text, it's long enough.</p><video src=x><p>second</p></article>", "T\nArticle text, it's long enough."),
+    (f"<svg><path d='m'/></svg><div>{BODY}<aside>Aside</aside></div><section class='related'><h2>More</h2><p>Another story with a lead that is much longer than this one is, by far.</p></section>", TEXT),
+])
+def test_boilerplate_words_do_not_remove_the_article(source, text):
+    assert html_extract.extract(source, None) == text
+
+
+@pytest.mark.parametrize("bad", ['<p class="x>word ', "<p class='x>word ", "<div class=john's>word ", "<!-- word ", "<x ", "<", "</section>word ", "<div>word ", "<td><p>word ", "<textarea>word ", '<a b="<a b=\'>', "<form><div class=ad>word ", "&#x41;", "</"])
+def test_broken_markup_takes_linear_time(bad):
+    page = "<article><p>start</p>" + bad * (1_000_000 // len(bad))
+    began = time.process_time()
+    text = html_extract.extract(page, "html>article")
+    assert time.process_time() - began < 6 and text.startswith("start")
+
+
+def made_page(rng):
+    """A random page and the lines of its article."""
+    lines, say = [], lambda: " ".join(rng.choice(["w", "a&amp;b", "x &lt; y", "é", "it's", "&quot;q&quot;", "<b>bold</b>", "<i class=ad's>it</i>"]) + str(rng.randrange(99)) for _ in range(rng.randrange(5, 30)))
+
+    def block(shape):
+        text = say()
+        lines.append(re.sub(r"<.*?>", "", text).replace("&amp;", "&").replace("&lt;", "<").replace("&quot;", '"'))
+        return shape.format(text.replace(" ", rng.choice([" ", "\n  ", "&#32;"])))
+
+    def junk():
+        return rng.choice(["<nav><ul><li><a href=x>{}</a></ul></nav>", "<div class='ad-box'>{}</div>", "<!-- {} -->", "<script>if (a<b) '{}'</script>", "<aside>{}</aside>", "<div id=comments><p>{}</p></div>", "<form><input><label>{}</label></form>", "<div class='cookie-notice'>{}</div>", "<p hidden>{}</p>"]).format(say())
+
+    body = block("<h1>{}</h1>") + "".join(rng.choice([lambda: block(rng.choice(["<p>{}", "<p>{}</p>", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>", "<div class=text>{}</div>", "<table><tr><td>{}</table>", "<pre>{}</pre>"])), junk])() for _ in range(12))
+    frame = rng.choice(["<article>{}</article>", "<div class='post-content'>{}</div>", "<main><div class='comments-open'>{}</div></main>", "<form><div class=wrap><article class='share-post'>{}</article></div></form>"])
+    return f"<!doctype html><html><head><title>x</title></head><body>{junk()}{frame.format(body)}{junk()}<footer>{say()}</footer></body></html>", lines
+
+
+def test_extraction_of_made_pages(spark):
+    rng = random.Random(5)
+    made = [made_page(rng) for _ in range(300)]
+    rows = [(i, f"http://h{i}.example/", page) for i, (page, _) in enumerate(made)]
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark, pages(spark, rows)).collect()}
+    wrong = [i for i, (_, lines) in enumerate(made) if got[i] != "\n".join(lines)]
+    assert not wrong, (made[wrong[0]], got[wrong[0]])
+
+
+def test_many_hosts_are_joined_by_salts(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 9}.example/a", ARTICLE.replace("{n}", str(i))) for i in range(60)]
+    want = sorted(map(tuple, html_extract.extract_pages(spark, pages(spark, rows)).collect()))
+    monkeypatch.setattr(html_extract, "BROADCAST_ROWS", 3)
+    assert sorted(map(tuple, html_extract.extract_pages(spark, pages(spark, rows)).collect())) == want
+
+
 def test_pages_without_a_lead_do_not_outvote_one_with_it(spark):
     rows = [(i, "http://h.example/a", f"<body><article><div class=body><p>{LONG_PART}</p></div></article></body>") for i in range(3)]
     rows.append((9, "http://h.example/b", SHAPES[4]))
