@@ -207,7 +207,7 @@ class Page:
             found = [c for c in range(1, n) if inner[c] == c and not out[c] and text[c] and (body[0] == 0 < body[c] or (c in framed and text[c] > text[0]))]
             if not found:
                 break
-            at = max(found, key=lambda c: (c in framed, text[c], -c))
+            at = max(found, key=lambda c: (c in framed and body[c] > 0, text[c], -c))
             while at:  # with all that it lies in
                 self.marks[at] = PLAIN
                 at = self.parent[at]

@@ -159,6 +159,7 @@ TEXT = "T\nArticle text, it's long enough.\nsecond"
     (f"<body><form id=aspnet><div class=header><a href=x>Home</a></div><div class=main><div class='share-buttons'>Share</div>{BODY}</div></form></body>", TEXT),
     ("<div class=john's><p>Article text, it's great.</p></div><p>second</p>", "Article text, it's great.\nsecond"), ("<p data-x='a'b\"c>one</p><p>it's \"two\"</p>", "one\nit's \"two\""),
     (f"<article><header><h1>T</h1></header><p>Article text, it's long enough.</p><video src=x><p>second</p></article>", "T\nArticle text, it's long enough."),
+    ("<header><h1>Site</h1></header><form><p>Article text, it's long enough.</p><p>second</p></form>", "Article text, it's long enough.\nsecond"),
     (f"<svg><path d='m'/></svg><div>{BODY}<aside>Aside</aside></div><section class='related'><h2>More</h2><p>Another story with a lead that is much longer than this one is, by far.</p></section>", TEXT),
 ])
 def test_boilerplate_words_do_not_remove_the_article(source, text):
@@ -185,7 +186,7 @@ def made_page(rng):
     def junk():
         return rng.choice(["<nav><ul><li><a href=x>{}</a></ul></nav>", "<div class='ad-box'>{}</div>", "<!-- {} -->", "<script>if (a<b) '{}'</script>", "<aside>{}</aside>", "<div id=comments><p>{}</p></div>", "<form><input><label>{}</label></form>", "<div class='cookie-notice'>{}</div>", "<p hidden>{}</p>"]).format(say())
 
-    body = block("<h1>{}</h1>") + "".join(rng.choice([lambda: block(rng.choice(["<p>{}", "<p>{}</p>", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>", "<div class=text>{}</div>", "<table><tr><td>{}</table>", "<pre>{}</pre>"])), junk])() for _ in range(12))
+    body = block("<h1>{}</h1>") + block("<p>{}</p>") + "".join(rng.choice([lambda: block(rng.choice(["<p>{}", "<p>{}</p>", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>", "<div class=text>{}</div>", "<table><tr><td>{}</table>", "<pre>{}</pre>"])), junk])() for _ in range(12))
     frame = rng.choice(["<article>{}</article>", "<div class='post-content'>{}</div>", "<main><div class='comments-open'>{}</div></main>", "<form><div class=wrap><article class='share-post'>{}</article></div></form>"])
     return f"<!doctype html><html><head><title>x</title></head><body>{junk()}{frame.format(body)}{junk()}<footer>{say()}</footer></body></html>", lines
 
