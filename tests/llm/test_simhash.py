@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from routelore.llm import simhash
+from routelore.llm import near_copies, simhash
 from routelore.llm.components import connected_components
 
 from .conftest import make_docs, words
@@ -81,15 +81,16 @@ def test_stage_keeps_one_of_each_group(spark, rng):
     near = [b.replace(b.split()[75], "changed", 1) for b in base[:10]]
     texts = [*base, *near, base[0], None, "", "  "]
     df = make_docs(spark, texts).withColumnRenamed("source", "group")
-    kept = simhash.keep_one(spark, df.repartition(4))
+    kept = near_copies.keep_one(spark, df.repartition(4))
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [*range(30), 41]
     twice = make_docs(spark, [base[0], base[0], near[0], base[1]], ids=[3, 3, None, 4])
-    assert sorted(r.doc_id for r in simhash.keep_one(spark, twice).collect()) == [3, 4]
-    assert simhash.keep_one(spark, make_docs(spark, [])).count() == 0
+    assert sorted(r.doc_id for r in near_copies.keep_one(spark, twice).collect()) == [3, 4]
+    assert near_copies.keep_one(spark, make_docs(spark, [])).count() == 0
 
 
 def test_stage_tiles_lose_no_link(spark, rng, monkeypatch):
-    monkeypatch.setattr(simhash, "STORED", 7)
+    monkeypatch.setattr(near_copies, "STORED", 7)
+    monkeypatch.setattr(near_copies, "STAR", 7)
     base = words(rng, 100).split()
     texts = []
     for _ in range(40):
@@ -97,7 +98,7 @@ def test_stage_tiles_lose_no_link(spark, rng, monkeypatch):
         w[rng.randrange(100)] = "changed"
         texts.append(" ".join(w))
     texts += [words(rng, 100) for _ in range(20)]
-    assert sorted(r.doc_id for r in simhash.keep_one(spark, make_docs(spark, texts)).collect()) == [0, *range(40, 60)]
+    assert sorted(r.doc_id for r in near_copies.keep_one(spark, make_docs(spark, texts)).collect()) == [0, *range(40, 60)]
 
 
 def edited(rng, text, changes):
@@ -130,7 +131,7 @@ def test_stage_decides_by_shingle_similarity(spark, rng, monkeypatch):
             texts.append(" ".join(texts[-1].split()[: n - n // 5 + k % 3]))
     want = brute_kept(texts)
     assert 100 < len(want) < len(texts) - 50
-    assert sorted(r.doc_id for r in simhash.keep_one(spark, make_docs(spark, texts)).collect()) == want
-    monkeypatch.setattr(simhash, "BLOCK_MEMBERS", 2)
-    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 500)
-    assert sorted(r.doc_id for r in simhash.keep_one(spark, make_docs(spark, texts)).collect()) == want
+    assert sorted(r.doc_id for r in near_copies.keep_one(spark, make_docs(spark, texts)).collect()) == want
+    monkeypatch.setattr(near_copies, "BLOCK_MEMBERS", 2)
+    monkeypatch.setattr(near_copies, "BLOCK_SHINGLES", 500)
+    assert sorted(r.doc_id for r in near_copies.keep_one(spark, make_docs(spark, texts)).collect()) == want
