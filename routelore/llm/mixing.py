@@ -11,8 +11,10 @@
 The budget is ``budget_factor`` times the smallest budget that gives every source in full at least once, so with
 a factor of 1 or more no document is lost: sources are only repeated, never cut.
 
-Everything is DataFrame and SQL functions. A source is split into blocks of some ``BLOCK_DOCS`` documents, prefix
-sums run inside blocks and then over block totals, so no window holds a hot source. The sources are as many as
+Everything is DataFrame and SQL functions. A source is split into blocks of some ``BLOCK_DOCS`` documents. Prefix
+sums run inside blocks, then over the totals of blocks whose place in the order begins with the same three hex digits, then over the
+totals of these 4,096 ranges, so no window holds a hot source or all of its blocks. ``mix_rows`` moves no text: in its last epoch a source gives all
+documents up to one place in the order, so one row a source tells every document how often it is given. The sources are as many as
 the corpus names; their number is checked against ``MAX_SOURCES`` before they meet in one array, and beyond it
 the operator raises an error. Null sources form a source of their own (''); null and empty texts have no tokens
 and count as one token, so that they are given like any other. Repeated rows are given one by one.
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import configure, join_small
+from .common import BROADCAST_ROWS, configure, join_small, stash
 
 #: At most this many sources may meet in one array; beyond it the call is refused.
 MAX_SOURCES = 100_000
@@ -90,26 +92,52 @@ def _order(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
 
 
-def mix(spark: SparkSession, docs: DataFrame, repeat_limit: float | None = REPEAT_LIMIT, target_entropy: float | None = None, budget_factor: float = 1.0) -> DataFrame:
-    """Realised mix: one row per given copy: doc_id, copy (repeated rows apart), source, tokens, epoch, block,
-    block_rank (the block's place in its epoch) and token_offset (tokens of the source given before)."""
-    configure(spark)
+def _identity() -> list[Column]:
+    return [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("copy"), F.col("digest")]
+
+
+def _block(*identity: Column) -> Column:
+    return F.conv(F.substring(_order(F.col("source"), *identity), 1, 12), 16, 10).cast("long") % F.col("n_blocks")
+
+
+def _placed(docs: DataFrame, repeat_limit: float | None, target_entropy: float | None, budget_factor: float) -> tuple[DataFrame, DataFrame]:
+    """Every document (copies apart) with its source's figures and its block, and the sources' figures."""
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), token_count().alias("tokens"), F.coalesce(F.md5("text"), F.lit("")).alias("digest"))
     # repeated rows are counted, given apart, and so need no order among themselves
     rows = rows.groupBy("doc_id", "source", "tokens", "digest").agg(F.count("*").alias("rows")).withColumn("copy", F.explode(F.expr("sequence(1L, rows)"))).drop("rows").checkpoint()
-    weights = source_weights(rows, repeat_limit, target_entropy, budget_factor).checkpoint()
-    rows = join_small(rows, weights, "source", "inner")
-    identity = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("copy"), F.col("digest")]
-    rows = rows.withColumn("block", F.conv(F.substring(_order(F.col("source"), *identity), 1, 12), 16, 10).cast("long") % F.col("n_blocks"))
-    rows = rows.withColumn("epochs", F.ceil(F.col("source_budget") / F.col("source_tokens")).cast("long"))
+    weights = source_weights(rows, repeat_limit, target_entropy, budget_factor)
+    weights = weights.withColumn("epochs", F.ceil(F.col("source_budget") / F.col("source_tokens")).cast("long")).checkpoint()
+    return join_small(rows, weights, "source", "inner").withColumn("block", _block(*_identity())), weights
+
+
+def _turns(rows: DataFrame, epochs: str) -> DataFrame:
+    """Blocks in the epochs that the SQL array ``epochs`` lists, with their place and the tokens before them."""
     blocks = rows.groupBy("source", "block").agg(F.sum("tokens").alias("block_tokens"), F.first("epochs").alias("epochs"))
-    blocks = blocks.withColumn("epoch", F.explode(F.expr("sequence(1L, epochs)"))).drop("epochs")
-    turn = W.partitionBy("source", "epoch").orderBy(_order(F.col("source"), F.col("epoch"), F.col("block")), "block")
-    blocks = blocks.withColumn("block_rank", F.row_number().over(turn).cast("long")).withColumn("before", F.coalesce(F.sum("block_tokens").over(turn.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    given = rows.withColumn("epoch", F.explode(F.expr("sequence(1L, epochs)")))
-    inside = W.partitionBy("source", "epoch", "block").orderBy(_order(F.col("epoch"), *identity), "doc_id", "copy", "digest")
-    given = given.withColumn("inside", F.coalesce(F.sum("tokens").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    given = join_small(given, blocks.select("source", "epoch", "block", "block_rank", "before").checkpoint(), ["source", "epoch", "block"], "inner")
+    blocks = blocks.withColumn("epoch", F.explode(F.expr(epochs))).drop("epochs").withColumn("order", _order(F.col("source"), F.col("epoch"), F.col("block"))).withColumn("range", F.substring("order", 1, 3))
+    turn = W.partitionBy("source", "epoch", "range").orderBy("order", "block")
+    blocks = blocks.withColumn("place", F.row_number().over(turn)).withColumn("near", F.sum("block_tokens").over(turn.rowsBetween(W.unboundedPreceding, -1))).checkpoint()
+    ranges = blocks.groupBy("source", "epoch", "range").agg(F.count("*").alias("n"), F.sum("block_tokens").alias("t"))
+    earlier = W.partitionBy("source", "epoch").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.select("source", "epoch", "range", F.sum("n").over(earlier).alias("n"), F.sum("t").over(earlier).alias("t"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return blocks.join(ranges, ["source", "epoch", "range"]).select("source", "epoch", "block", "order", (F.col("place") + zero("n")).cast("long").alias("block_rank"), (zero("near") + zero("t")).alias("before"))
+
+
+def _inside() -> tuple[Column, Column]:
+    """A document's place in its block in an epoch, and the tokens of the block before it."""
+    order = _order(F.col("epoch"), *_identity())
+    inside = W.partitionBy("source", "epoch", "block").orderBy(order, "doc_id", "copy", "digest")
+    return order, F.coalesce(F.sum("tokens").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+
+def mix(spark: SparkSession, docs: DataFrame, repeat_limit: float | None = REPEAT_LIMIT, target_entropy: float | None = None, budget_factor: float = 1.0) -> DataFrame:
+    """Realised mix: one row per given copy: doc_id, copy (repeated rows apart), source, tokens, epoch, block,
+    block_rank (the block's place in its epoch) and token_offset (tokens of the source given before)."""
+    configure(spark)
+    rows, _ = _placed(docs, repeat_limit, target_entropy, budget_factor)
+    blocks = _turns(rows, "sequence(1L, epochs)").drop("order").checkpoint()
+    given = rows.withColumn("epoch", F.explode(F.expr("sequence(1L, epochs)"))).withColumn("inside", _inside()[1])
+    given = join_small(given, blocks, ["source", "epoch", "block"], "inner")
     offset = (F.col("epoch") - 1) * F.col("source_tokens") + F.col("before") + F.col("inside")
     given = given.withColumn("token_offset", offset.cast("long")).where(F.col("token_offset") < F.col("source_budget"))
     return given.select("doc_id", "copy", "digest", "source", "tokens", "epoch", "block", "block_rank", "token_offset")
@@ -119,18 +147,40 @@ def mix_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return mix(spark, docs).drop("digest")
 
 
+def _copies(keyed: DataFrame, repeated: DataFrame, salts: int = 64) -> DataFrame:
+    """``keyed`` (doc_id, digest, source, row) with the number of each row among its equals; only the repeated ones are looked at."""
+    key = ["doc_id", "digest", "source"]
+    same = F.expr(" and ".join(f"k.{c} <=> r.{c}" for c in key))
+    left, right = keyed.alias("k"), F.broadcast(repeated.alias("r")) if repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else repeated.alias("r")
+    once = left.join(right, same, "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    again = stash(left.join(right, same, "left_semi").withColumn("at", F.monotonically_increasing_id())).withColumn("salt", F.pmod("at", F.lit(salts)))
+    before = W.partitionBy(*key).orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
+    counts = again.groupBy(*key, "salt").agg(F.count("*").alias("n")).select(*[F.col(c).alias(f"_{c}") for c in (*key, "salt")], F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
+    again = again.withColumn("k", F.row_number().over(W.partitionBy(*key, "salt").orderBy("at")))
+    again = again.join(counts, F.expr(" and ".join(f"{c} <=> _{c}" for c in (*key, "salt")))).withColumn("copy", (F.col("k") + F.col("n")).cast("long"))
+    return once.unionByName(again.select(*once.columns))
+
+
 def mix_rows(spark: SparkSession, docs: DataFrame, repeat_limit: float = REPEAT_LIMIT) -> DataFrame:
-    """``docs`` itself, each row as many times as the mix gives it (the columns of ``docs``)."""
-    times = mix(spark, docs, repeat_limit).groupBy("doc_id", "digest", "source").agg(F.count("*").alias("given"), F.count_distinct("copy").alias("rows"))
-    times = times.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"), F.col("source").alias("__s"), "given", "rows").checkpoint()
-    keyed = docs.withColumns({"__digest": F.coalesce(F.md5("text"), F.lit("")), "__source": F.coalesce("source", F.lit(""))})
-    keyed = keyed.join(times, keyed["doc_id"].eqNullSafe(times["__id"]) & (keyed["__digest"] == times["__d"]) & (keyed["__source"] == times["__s"]), "inner")
-    row = F.lit(1)
-    if times.where("rows > 1").limit(1).count():  # equal rows share their copies: the first ones take what does not divide
-        row = F.row_number().over(W.partitionBy("doc_id", "__digest", "__source").orderBy(F.lit(1)))
-    keyed = keyed.withColumn("__row", row)
-    keyed = keyed.withColumn("__times", F.expr("cast(given div rows + if(__row <= given % rows, 1, 0) as int)"))
-    return keyed.where("__times > 0").withColumn("__k", F.explode(F.expr("sequence(1, __times)"))).select(*docs.columns)
+    """``docs`` itself, each row as many times as the mix gives it (the columns of ``docs``, whatever their names)."""
+    configure(spark)
+    rows, weights = _placed(docs.select("doc_id", "source", "text"), repeat_limit, None, 1.0)
+    # of each source: the last block that its last epoch reaches, and the last document in it
+    base = (F.col("epoch") - 1) * F.col("source_tokens")
+    turns = join_small(_turns(rows, "array(epochs)"), weights, "source", "inner").where(base + F.col("before") < F.col("source_budget"))
+    last = turns.groupBy("source").agg(F.max_by(F.struct("epoch", "block", "order", "before"), "block_rank").alias("last")).select("source", "last.*").checkpoint()
+    order, inside = _inside()
+    edge = rows.join(F.broadcast(last), ["source", "block"]).withColumns({"at": order, "inside": inside})  # a row for each of at most MAX_SOURCES sources
+    edge = edge.where(base + F.col("before") + F.col("inside") < F.col("source_budget")).groupBy("source").agg(F.max("at").alias("at"))
+    places = weights.join(last.select("source", "order"), "source").join(edge, "source").select("source", "n_blocks", "epochs", "order", "at").checkpoint()
+
+    keyed = docs.select("doc_id", F.coalesce(F.md5("text"), F.lit("")).alias("digest"), F.coalesce("source", F.lit("")).alias("source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    repeated = rows.where("copy = 2").select("doc_id", "digest", "source").checkpoint()
+    keyed = _copies(keyed, repeated) if repeated.limit(1).count() else keyed.withColumn("copy", F.lit(1).cast("long"))
+    keyed = keyed.join(F.broadcast(places), "source")
+    place = F.concat(_order(F.col("source"), F.col("epochs"), _block(*_identity())), _order(F.col("epochs"), *_identity()))
+    times = F.col("epochs") - F.when(place <= F.concat("order", "at"), 0).otherwise(1)
+    return keyed.select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias("k")).select("row.*")
 
 
 ORACLE = f"""

@@ -105,13 +105,20 @@ def test_mixing_reaches_its_targets(spark, rng):
         mixing.mix(spark, docs, repeat_limit=None)
 
 
-def test_mixed_rows(spark, rng):
-    rows = [(i, words(rng, 20), "en", "big" if i % 10 else "small", 0) for i in range(100)]
-    rows += [rows[0], rows[0], rows[1]]
-    docs = spark.createDataFrame(rows, DOCS).withColumnRenamed("lang", "epoch")
-    out = mixing.mix_rows(spark, docs)
-    assert out.columns == docs.columns and out.where("source = 'big'").count() == 91
-    assert out.count() == mixing.mix(spark, docs).count() > len(rows)
+@pytest.mark.parametrize("block", [3, 2_000])
+def test_mixed_rows(spark, rng, monkeypatch, block):
+    """Each row as often as the mix lists it, whatever the other columns are called; equal rows share their copies."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", block)
+    rows = [(i, words(rng, 5 + i % 40), "en", "big" if i % 10 else "small", 0) for i in range(200)]
+    rows += [rows[0]] * 7 + [rows[1], (None, None, None, None, None), (None, None, "x", None, None), (900, "", "en", "small", 0), (901, words(rng, 9_000), "en", "small", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    want = {(r.doc_id, r.digest): r.n for r in mixing.mix(spark, docs).groupBy("doc_id", "digest").agg(F.count("*").alias("n")).collect()}
+    for names in (["given", "rows"], ["row", "k"], ["__row", "__times"], ["copy", "digest"], ["at", "epochs"], ["place.x", "order"], ["block", "tokens"]):
+        clash = docs.withColumnRenamed("lang", names[0]).withColumnRenamed("n_chars", names[1])
+        out = mixing.mix_rows(spark, clash)
+        assert out.columns == clash.columns
+        got = {(r.doc_id, r.d): r.n for r in out.groupBy("doc_id", F.coalesce(F.md5("text"), F.lit("")).alias("d")).agg(F.count("*").alias("n")).collect()}
+        assert got == want and sum(want.values()) > len(rows)
 
 
 def test_sharding(spark, rows):
