@@ -24,13 +24,16 @@ BROADCAST_ROWS = 200_000
 def configure(spark: SparkSession) -> SparkSession:
     """Bound the Arrow batches of Python stages, and see to it that there is a checkpoint folder.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; a folder of our own is used only
-    where that is unset, as in tests on one machine.
+    A cluster names its shared folder in ``spark.checkpoint.dir``; where that is unset a folder of our own is used on a local
+    master, as in tests on one machine, and any other master is refused: its executors could not see that folder.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return spark
 
 

@@ -5,9 +5,10 @@ piece by piece, in lower case, under each dictionary; the language whose diction
 decision is rejected where the relative margin to the runner-up is narrow.
 
 Training reads a bounded sample of labelled rows: per language the ``SAMPLE_DOCS`` rows that are first by digest,
-``SAMPLE_CHARS`` characters of each (from a place set by the digest), at most ``DICT_BYTES`` in all. Rank limits are
-applied in every input partition and then in ``PARTS`` parts of a language, so one with most of the rows is no bottleneck. The
-dictionaries (``DICT_BYTES`` a language, at most ``MAX_LANGS`` languages) are shipped to the executors with the task.
+``SAMPLE_CHARS`` characters of each (from a place set by the digest), at most ``DICT_BYTES`` in all. Only languages and digests
+are counted and ranked, in ``PARTS`` parts of a language and then over what these have left, so one with most of the rows or a text with very many
+copies is no bottleneck; the pieces are then cut from the rows that were picked, and equal ones are merged in every task. The
+dictionaries (``DICT_BYTES`` a language) are shipped to the executors with the task; more than ``MAX_LANGS`` languages are refused.
 
 Prediction reads the whole text, in pieces of ``PIECE_BYTES`` bytes so that the dictionary bears on all of it.
 Null texts and texts without a letter are ``und`` with score 0. Ties go to the language that is first by name.
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import configure, free_name, with_fields
+from .common import configure, free_name, join_small, with_fields
 
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 600
@@ -42,26 +43,28 @@ LETTER = regex.compile(r"\p{L}")
 
 
 def sample(docs: DataFrame, text: str = "text", label: str = "lang", per_label: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """(lang, piece): the bounded training sample of labelled rows, the same on every run.
+    """(lang, h, piece): the bounded training sample of labelled rows, the same on every run.
 
     Each distinct text counts once, whatever its number of copies."""
-    rows = docs.where(F.col(text).isNotNull() & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    h = F.xxhash64(text)
-    rows = rows.select(F.col(label).alias("lang"), h.alias("h"), F.substring(F.col(text), (F.pmod(h, F.greatest(F.length(text) - chars, F.lit(1))) + 1).cast("int"), F.lit(chars)).alias("piece"))
-    rows = rows.groupBy("lang", "h").agg(F.min("piece").alias("piece")).withColumn("part", F.pmod(F.col("h"), F.lit(PARTS)))
+    rows = docs.select(F.col(label).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    picked = rows.groupBy("lang", "h").agg(F.count("*").alias("n")).select("lang", "h", F.pmod("h", F.lit(PARTS)).alias("part"))
     for by in (["lang", "part"], ["lang"]):  # each part of a language is cut first, then what the parts have left
         rank = W.partitionBy(*by).orderBy("h")
-        rows = rows.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_label).drop("rank")
-    return rows.select("lang", "h", "piece")
+        picked = picked.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_label).drop("rank")
+    begin = (F.pmod("h", F.greatest(F.length("text") - chars, F.lit(1))) + 1).cast("int")
+    pieces = join_small(rows, picked.select("lang", "h").checkpoint(), ["lang", "h"], "inner").select("lang", "h", F.substring(F.col("text"), begin, F.lit(chars)).alias("piece"))
+    return pieces.groupBy("lang", "h").agg(F.min("piece").alias("piece"))  # as many rows as were picked
 
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang") -> dict[str, bytes]:
     """Raw-content dictionary of each language in the labelled rows."""
+    configure(docs.sparkSession)
+    labels = docs.select(F.col(label).alias("lang")).where("lang is not null").distinct()
+    if labels.limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     pieces: dict[str, list[tuple[int, bytes]]] = {}
-    for r in sample(docs, text, label).limit(MAX_LANGS * SAMPLE_DOCS).collect():  # the sample is bounded; the limit only guards it
+    for r in sample(docs, text, label).collect():  # SAMPLE_DOCS pieces a language at most
         pieces.setdefault(r["lang"], []).append((r["h"], r["piece"].lower().encode()))
-    if len(pieces) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
     return {lang: b"\n".join(p for _, p in sorted(found))[-DICT_BYTES:] for lang, found in sorted(pieces.items())}
 
 

@@ -5,12 +5,13 @@ well-known credential formats, private key blocks and long random-looking tokens
 
 Ownership. The SHA-256 digests of all candidate values are aggregated over the corpus: in how many distinct
 repositories and from how many distinct owners does a value come? A value that more than ``MAX_OWNERS`` owners
-share is a widely copied example; one that few owners have, and that is not a plain placeholder, looks live.
+share, or that is in more than ``MAX_REPOSITORIES`` repositories, is a widely copied example; any other that is not a plain
+placeholder looks live: it is specific to its owner.
 
-Result. Base spans are always reported. The further spans are reported when their value is owner-specific;
-widely copied ones are counted, not reported. Null texts are empty. Rows with equal id and text get equal results.
-The aggregation is by (value, repository, owner) first, so copies of one secret are combined before the shuffle;
-the verdicts go back to the candidates by a join that is salted by document, so one hot secret is no hot task.
+Result. Base spans are always reported. The further spans are reported when their value looks live. ``live`` and ``copied``
+list the spans of either verdict, base ones too, and n_live and n_copied count them. Null texts are empty. Rows with equal id and
+text get equal results. The aggregation is by (value, repository, owner) first, so copies of one secret are combined before the shuffle;
+the verdicts go back to the candidates by a join in which values of more than ``HOT`` candidates, as counted, are dealt over salts.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import configure, with_fields
+from .common import configure, join_small, with_fields
 
 #: Most distinct owners of a value that still counts as owner-specific.
 MAX_OWNERS = 2
-#: Salts of a value's verdict; candidates pick theirs by document.
-SALTS = 16
+#: Most distinct repositories of such a value.
+MAX_REPOSITORIES = 4
+#: Candidates of a value under one salt.
+HOT = 10_000
 
 #: Base kinds, in the order in which equal starts are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -41,7 +45,7 @@ FORMATS = {
     "github": r"gh[pousr]_[A-Za-z0-9]{36,}",
     "gitlab": r"glpat-[A-Za-z0-9_-]{20,}",
     "google": r"AIza[A-Za-z0-9_-]{35}",
-    "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "jwt": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
     "pem": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----",
     "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}",
     "stripe": r"[rs]k_live_[A-Za-z0-9]{16,}",
@@ -64,17 +68,33 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+class Taken:
+    """Spans joined into disjoint ones, to look up if a place is free."""
+
+    def __init__(self, spans: list[tuple[str, int, int, str]]) -> None:
+        self.starts, self.stops = [], []
+        for start, stop in sorted((s, e) for _, s, e, _ in spans):
+            if self.stops and start < self.stops[-1]:
+                self.stops[-1] = max(self.stops[-1], stop)
+            else:
+                self.starts.append(start)
+                self.stops.append(stop)
+
+    def free(self, start: int, stop: int) -> bool:
+        k = bisect_left(self.starts, stop)  # the last span that begins before stop
+        return k == 0 or self.stops[k - 1] <= start
+
+
 def scan(text: str) -> list[tuple[str, int, int, str]]:
     """(kind, start, stop, value) of all candidates of a text, base kinds and further ones."""
     found = [("assign", m.start(), m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
     if "AKIA" in text:
         found += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
-    taken = [(s, e) for _, s, e, _ in found]
-    free = lambda m: all(m.end() <= s or m.start() >= e for s, e in taken)
-    further = [(m.lastgroup, m.start(), m.end(), m[0]) for m in FORMAT.finditer(text) if free(m)]
-    taken += [(s, e) for _, s, e, _ in further]
-    further += [("random", m.start(), m.end(), m[0]) for m in LONG.finditer(text) if DIGIT.search(m[0]) and entropy(m[0]) >= MIN_ENTROPY and free(m)]
+    taken = Taken(found)
+    further = [x for m in FORMAT.finditer(text) if taken.free(*(x := (m.lastgroup, m.start(), m.end(), m[0]))[1:3])]
+    taken = Taken(found + further)
+    further += [("random", m.start(), m.end(), m[0]) for m in LONG.finditer(text) if DIGIT.search(m[0]) and taken.free(m.start(), m.end()) and entropy(m[0]) >= MIN_ENTROPY]
     return sorted(found + further, key=lambda x: (x[1], RANK[x[0]]))
 
 
@@ -104,30 +124,36 @@ def _spans(array: str) -> Column:
     return F.concat_ws(",", F.transform(F.col(array), lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["stop"].cast("string"))))
 
 
-def scan_secrets(spark: SparkSession, docs: DataFrame, repository: Column, owner: Column, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied.
+def scan_secrets(spark: SparkSession, docs: DataFrame, repository: Column, owner: Column, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, live, copied.
 
     ``docs`` has doc_id and text, and what ``repository`` and ``owner`` read."""
     rows = docs.select("doc_id", repository.alias("repository"), owner.alias("owner"), "text")
     found = candidates(spark, rows).checkpoint()
-    owners = ownership(found, F.col("repository"), F.col("owner")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    each = found.where(F.size("candidates") > 0).select("doc_id", "row_key", F.explode("candidates").alias("c"), F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALTS)).cast("int").alias("salt"))
-    each = each.select("doc_id", "row_key", "salt", "c.*").distinct().join(owners, ["value_sha256", "salt"])
+    each = found.where(F.size("candidates") > 0).select("doc_id", "row_key", F.explode("candidates").alias("c")).select("doc_id", "row_key", "c.*").distinct()
+    hot = each.groupBy("value_sha256").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("value_sha256", F.ceil(F.col("n") / F.lit(HOT)).cast("int").alias("salts")).checkpoint()
+    salts = F.coalesce("salts", F.lit(1))
+    owners = join_small(ownership(found, F.col("repository"), F.col("owner")), hot, "value_sha256").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    each = join_small(each, hot, "value_sha256").withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_key", "start"), salts).cast("int")).drop("salts")
+    each = each.join(owners, ["value_sha256", "salt"])
     is_base = F.col("kind").isin("assign", "access", "hex")
-    live = (F.col("owners") <= max_owners) & ~F.col("placeholder")
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories) & ~F.col("placeholder")
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
-    per_doc = each.groupBy("doc_id", "row_key").agg(
-        F.array_sort(F.collect_list(F.when(is_base | live, F.struct("start", rank.alias("rank"), "kind", "stop")))).alias("shown"),
-        F.count_if(live).alias("n_live"), F.count_if(~live).alias("n_copied"),
-    ).select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), _spans("shown").alias("spans"), "n_live", "n_copied")
+    spans_where = lambda c: F.array_sort(F.collect_list(F.when(c, F.struct("start", rank.alias("rank"), "kind", "stop"))))
+    per_doc = each.groupBy("doc_id", "row_key").agg(spans_where(is_base | live).alias("shown"), spans_where(live).alias("live"), spans_where(~live).alias("copied"))
+    per_doc = per_doc.select(
+        F.col("doc_id").alias("id"), F.col("row_key").alias("key"), _spans("shown").alias("spans"), F.size("live").alias("n_live"), F.size("copied").alias("n_copied"),
+        _spans("live").alias("live"), _spans("copied").alias("copied"),
+    )
     base = F.filter("candidates", lambda c: c["kind"].isin("assign", "access", "hex"))
     count = lambda kind: F.size(F.filter("candidates", lambda c: c["kind"] == kind)).cast("long")
     all_rows = found.withColumn("base", base).select(
         "doc_id", "row_key", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(_spans("base"), 256).alias("base_sha256"),
     )
     joined = all_rows.join(per_doc, all_rows["doc_id"].eqNullSafe(per_doc["id"]) & (all_rows["row_key"] == per_doc["key"]), "left")
+    text_of = lambda c: F.coalesce(c, F.lit("")).alias(c)
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return joined.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_copied"))
+    return joined.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", text_of("spans"), zero("n_live"), zero("n_copied"), text_of("live"), text_of("copied"))
 
 
 def secrets_query(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 #: Prime number of slots of the production table (a fixed, proven broadcast size).
 SLOTS = 65_537
 #: Shards of the production table.
@@ -56,14 +58,14 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def assign_shards(spark: SparkSession, df: DataFrame, key: Column, shards: list[str], slots: int = SLOTS) -> DataFrame:
-    """``df`` with columns slot (long) and shard (string); rows keep all their columns and their number.
+    """``df`` with its slot (long) and shard (string) behind; rows keep all their columns and their number.
 
-    Input columns named slot or shard are replaced.
+    The new columns are called slot and shard, with an underscore before for each column of ``df`` that has the name already.
     """
+    slot, shard = free_name(df, "slot"), free_name(df, "shard")
     table = fill_table(shards, slots)
-    lookup = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(table.tolist())], "slot long, shard string")
-    rows = df.drop("slot", "shard").withColumn("slot", slot_of(key, slots))
-    return rows.join(F.broadcast(lookup), "slot", "left").select(*df.drop("slot", "shard").columns, "slot", "shard")
+    lookup = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(table.tolist())], f"`{slot}` long, `{shard}` string")
+    return df.withColumn(slot, slot_of(key, slots)).join(F.broadcast(lookup), slot, "left").select(*[F.col(f"`{c}`") for c in df.columns], slot, shard)
 
 
 def shard_names(n: int = SHARDS) -> list[str]:

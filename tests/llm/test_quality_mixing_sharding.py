@@ -1,5 +1,6 @@
 """The operators that SQL expresses, against their DuckDB queries on small tables with odd rows."""
 
+import hashlib
 import os
 
 import duckdb
@@ -126,10 +127,32 @@ def test_sharding(spark, rows):
     same(sharding.assign_shards(spark, docs.select("doc_id"), F.col("doc_id"), sharding.shard_names()), rows, sharding.oracle("doc_id"))
     clash = docs.withColumnRenamed("lang", "slot").withColumnRenamed("source", "shard")
     out = sharding.assign_shards(spark, clash, F.col("doc_id"), ["a", "b"], slots=11)
-    assert out.columns == ["doc_id", "text", "n_chars", "slot", "shard"] and out.count() == len(rows)
+    assert out.columns == [*clash.columns, "_slot", "_shard"] and out.count() == len(rows)
+    assert out.select(*clash.columns).exceptAll(clash).count() == 0
     assert sharding.assign_shards(spark, docs.limit(0), F.col("doc_id"), ["a"], slots=11).count() == 0
 
 
+def brute_table(names, size):
+    """The turns taken with whole preference lists, as the method describes them."""
+    wishes = []
+    for name in names:
+        d = hashlib.md5(name.encode()).hexdigest()
+        first, step = int(d[:16], 16) % size, int(d[16:], 16) % (size - 1) + 1
+        wishes.append([(first + k * step) % size for k in range(size)])
+    owner = {}
+    while len(owner) < size:
+        for i, wish in enumerate(wishes):
+            if len(owner) < size:
+                owner[next(slot for slot in wish if slot not in owner)] = i
+    return [owner[slot] for slot in range(size)]
+
+
+@pytest.mark.parametrize(("n", "size"), [(1, 2), (3, 3), (7, 101), (64, 499)])
+def test_sharding_table_equals_brute_force(n, size):
+    names = sharding.shard_names(n)
+    assert sharding.fill_table(names, size).tolist() == brute_table(names, size)
+
+
 def test_sharding_table():
     names = sharding.shard_names(10)
     table = sharding.fill_table(names, 997)
