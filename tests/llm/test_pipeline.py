@@ -1,7 +1,11 @@
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
 import corpus_pipeline
 from routelore.llm import queries
 
-from .conftest import make_docs, words
+from .conftest import DOCS, make_docs, words
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -30,7 +34,25 @@ def test_empty_and_odd_documents(spark, rng, tmp_path):
         assert corpus_pipeline.run(spark, str(tmp_path)).count() <= len(texts)
 
 
+NAMES = [["group", "key"], ["row", "node"], ["lang_pred", "lang_score"], ["item_id", "shared"], ["given", "rows"], ["slot", "shard"], ["__row", "at"], ["copy", "digest"]]
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_clashing_names(spark, rng, tmp_path, stage):
+    spark.createDataFrame([(1, words(rng, 20)), (None, words(rng, 9))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    long = words(rng, 60_000)
+    rows = [(i, t, "en" if i % 2 else "de", "s" if i % 3 else None, 0) for i, t in enumerate([words(rng, 40), words(rng, 40), long, long + " more", "", "é" * 200_000, words(rng, 300)])]
+    rows += [rows[0], rows[0], (None, None, None, None, None), (None, words(rng, 30), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    plain = sorted(repr((r.doc_id, hash(r.text))) for r in stage(spark, docs, str(tmp_path)).collect())
+    for a, b in NAMES:
+        out = stage(spark, docs.withColumn(a, F.lit("x")).withColumn(b, F.lit(1)), str(tmp_path))
+        assert out.columns[:7] == [*docs.columns, a, b]
+        assert sorted(repr((r.doc_id, hash(r.text))) for r in out.select("doc_id", "text").collect()) == plain
+    assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
 def test_registered_queries():
     names = queries.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in __spark_entry__.queries() and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(queries.oracle_sql()) <= set(names)
