@@ -196,7 +196,7 @@ def test_review_and_acceptance(spark):
 
 
 def test_retries_and_pace():
-    answers = [enrich.Response("timed_out"), enrich.Response("succeeded", "{"), enrich.Response("succeeded", "{}")]
+    answers = [enrich.Response("timed_out", retryable=True), enrich.Response("succeeded", "{"), enrich.Response("succeeded", "{}")]
     slept, clock = [], iter(range(100))
 
     class Client:
