@@ -13,9 +13,8 @@ from pyspark.sql import types as T
 
 #: White space as Python's str.strip sees it, in Java's syntax.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
+#: Characters that begin a spreadsheet formula, and the shapes of timestamps.
 CSV_FORMULA = r"^[=+\-@\t\r\n]"
-HEX_64 = r"^[0-9a-f]{64}$"
-ENVIRONMENT_NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"
 RFC_3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 RFC_3339_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?Z$"
 
@@ -30,11 +29,6 @@ def blank(text: Column) -> Column:
     return text.isNull() | (strip(text) == "")
 
 
-def fold(text: Column) -> Column:
-    """Case- and space-folded text, without compatibility forms: the JVM-side version of ``normalize``."""
-    return F.trim(F.regexp_replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), SPACE, " "))
-
-
 def normalize_text(text: str) -> str:
     return " ".join(unicodedata.normalize("NFKC", text).casefold().split())
 

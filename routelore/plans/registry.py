@@ -194,33 +194,46 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.duplicates(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+#: DuckDB has no NFKC: the SQL folds case and spaces, which is the same for texts that NFKC leaves alone, as all texts of the
+#: driver's tables. Other texts are compared with a brute-force version in the tests.
 _FOLD = "trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '\\s+', ' ', 'g'))"
 
 
+def normalized_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize("text"), 256).alias("normalized"))
+
+
 @query(f"""WITH f AS (SELECT doc_id, {_FOLD.format("text")} AS normalized FROM documents)
 SELECT doc_id, first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY normalized) AS first_id FROM f) WHERE doc_id > first_id""")
 def normalized_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "documents").select("doc_id", F.sha2(text.fold(F.col("text")), 256).alias("normalized"))
-    return dataset.first_declared(rows, ["normalized"], ["doc_id"]).select("doc_id", F.col("first.doc_id").alias("first_id"))
+    return dataset.first_declared(normalized_digest(spark, sf_dir), ["normalized"], ["doc_id"]).select("doc_id", F.col("first.doc_id").alias("first_id"))
 
 
 @query(f"""WITH d AS (SELECT doc_id AS id, {_FOLD.format("text")} AS n FROM documents WHERE doc_id % 4 = 0), c AS (SELECT doc_id - doc_id % 3 AS id, {_FOLD.format("text")} AS n FROM documents WHERE doc_id % 4 <> 0)
 SELECT id, 'id' AS reason FROM d WHERE id IN (SELECT id FROM c) UNION ALL SELECT id, 'input' AS reason FROM d WHERE n IN (SELECT n FROM c)""")
 def regression_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "documents").select("doc_id", F.sha2(text.fold(F.col("text")), 256).alias("normalized"))
+    d = normalized_digest(spark, sf_dir)
     replay = d.where("doc_id % 4 = 0").withColumnRenamed("doc_id", "id")
     child = d.where("doc_id % 4 <> 0").select((F.col("doc_id") - F.col("doc_id") % 3).alias("id"), "normalized")
     return dataset.separation(replay, child)
 
 
-@query(f"""WITH e AS (SELECT l_orderkey // 4 AS line, CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS id, l_partkey AS p FROM lineitem WHERE l_linenumber <= 2 AND l_orderkey % 4 = 1),
-numbered AS (SELECT *, min(line * 10000000 + p) OVER (PARTITION BY id) AS f FROM e)
-SELECT count_if(id = '') AS blank_ids, count_if(id <> '' AND line * 10000000 + p > f) AS duplicate_ids FROM numbered""")
+_LINES = """SELECT l_orderkey AS line, lpad(CAST(l_partkey AS VARCHAR), 12, '0') || l_returnflag || CAST(l_suppkey AS VARCHAR) || l_linestatus || CAST(l_quantity AS VARCHAR) || CAST(l_extendedprice AS VARCHAR) AS source,
+CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber // 2 AS VARCHAR) END AS id, lower(l_returnflag || ' ' || CAST(l_partkey AS VARCHAR) || ' ' || CAST(l_suppkey AS VARCHAR)) AS input FROM lineitem"""
+
+
+@query(f"""WITH e AS ({_LINES}), good AS (SELECT *, (line, source) AS place FROM e WHERE id <> ''),
+firsts AS (SELECT *, min(place) OVER (PARTITION BY id) AS first_id, min(place) OVER (PARTITION BY input) AS first_input FROM good)
+SELECT 'id must be a non-blank string' AS message, count(*) AS n FROM e WHERE id = '' UNION ALL SELECT 'duplicate id', count(*) FROM firsts WHERE place > first_id UNION ALL SELECT 'duplicate normalized input', count(*) FROM firsts WHERE place > first_input""")
 def dataset_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "lineitem").where("l_linenumber <= 2 and l_orderkey % 4 = 1")
-    rows = rows.select(F.lit(0).alias("part_pos"), F.lpad(F.col("l_partkey").cast("string"), 12, "0").alias("source"), F.expr("l_orderkey div 4").alias("line"), F.when(F.col("l_linenumber") == 1, "").otherwise(F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("id"), F.monotonically_increasing_id().cast("string").alias("input"))
-    found = dataset.validate(rows, F.col("input"))
-    return found.agg(F.count_if(F.col("message").startswith("id must")).alias("blank_ids"), F.count_if(F.col("message").startswith("duplicate id")).alias("duplicate_ids"))
+    """All three kinds of violation over the whole of lineitem."""
+    text_of = lambda c: F.col(c).cast("string")
+    rows = read(spark, sf_dir, "lineitem").select(
+        F.lit(0).alias("part_pos"), F.concat(F.lpad(text_of("l_partkey"), 12, "0"), "l_returnflag", text_of("l_suppkey"), "l_linestatus", text_of("l_quantity"), text_of("l_extendedprice")).alias("source"), F.col("l_orderkey").alias("line"),
+        F.when(F.col("l_linenumber") == 1, "").otherwise(F.concat_ws("-", "l_orderkey", F.expr("l_linenumber div 2"))).alias("id"), F.concat_ws("  ", "l_returnflag", "l_partkey", "l_suppkey").alias("input"),
+    )
+    found = dataset.validate(rows, text.normalize("input"))
+    return found.groupBy(F.split("message", ";")[0].alias("message")).agg(F.count("*").alias("n"))
 
 
 # Text functions, projection
@@ -243,9 +256,13 @@ def json_pointer_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", resolve(F.col("props"), "/k").alias("r")).select("event_id", "r.state", F.col("r.value").alias("k"))
 
 
-@query("SELECT page_id, CASE WHEN regexp_matches(url, '^[=+@\\t\\r\\n-]') THEN '''' || url ELSE url END AS url, CASE WHEN regexp_matches(substr(html, 500, 40), '^[=+@\\t\\r\\n-]') THEN '''' || substr(html, 500, 40) ELSE substr(html, 500, 40) END AS cell FROM pages")
+_GUARDED = "CASE WHEN regexp_matches({0}, '^[=+@\\t\\r\\n-]') THEN '''' || {0} ELSE {0} END"
+
+
+@query(f"SELECT page_id, {_GUARDED.format('url')} AS url, sha256({_GUARDED.format('html')}) AS cell, sha256({_GUARDED.format('substr(html, 7)')}) AS inner_cell FROM pages")
 def csv_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", text.csv_cell(F.col("url")).alias("url"), text.csv_cell(F.substring("html", 500, 40)).alias("cell"))
+    cell = lambda c: F.sha2(text.csv_cell(c), 256)
+    return read(spark, sf_dir, "pages").select("page_id", text.csv_cell(F.col("url")).alias("url"), cell(F.col("html")).alias("cell"), cell(F.expr("substr(html, 7)")).alias("inner_cell"))
 
 
 @query("SELECT doc_id, sha256(text || chr(10)) AS sha256 FROM documents")
@@ -300,9 +317,25 @@ def eval_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.gates(eval_metrics(spark, sf_dir), MINIMUMS)
 
 
-@query(f"""WITH {_scored()}, m AS ({_metrics(7)}) SELECT true AS confusion_total, true AS confusion_diagonal, true AS invalid_total, true AS rate FROM m""")
+_CONFUSION = "(SELECT expected, predicted, count(*) AS n FROM scored WHERE category IS NULL GROUP BY ALL)"
+
+
+def _reconciled(label: str, matrix: str, invalid: str) -> str:
+    return f"""SELECT '{label}' AS report, (SELECT coalesce(sum(n), 0) FROM {matrix}) = m.valid_decisions AS confusion_total, (SELECT coalesce(sum(n), 0) FROM {matrix} WHERE expected = predicted) = m.route_correct AS confusion_diagonal,
+(SELECT coalesce(sum(n), 0) FROM {invalid}) = m.examples - m.valid_decisions AS invalid_total, abs(m.route_accuracy - m.route_correct / m.examples) <= 1e-12 AS rate FROM m"""
+
+
+_INVALID = "(SELECT category, count(*) AS n FROM scored WHERE category IS NOT NULL GROUP BY ALL)"
+
+
+@query(f"""WITH {_scored()}, m AS ({_metrics(7)}) {_reconciled("as made", _CONFUSION, _INVALID)}
+UNION ALL {_reconciled("without a row", f"(SELECT * FROM {_CONFUSION} WHERE expected <> 'en')", _INVALID)} UNION ALL {_reconciled("without a category", _CONFUSION, f"(SELECT * FROM {_INVALID} WHERE category <> '{evaluate.CATEGORIES[1]}')")}""")
 def eval_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.reconcile(eval_metrics(spark, sf_dir), eval_confusion(spark, sf_dir), eval_invalid(spark, sf_dir))
+    """The report as it is, and with tables that lack a part: the checks must tell."""
+    metrics, matrix, invalid = eval_metrics(spark, sf_dir), eval_confusion(spark, sf_dir), eval_invalid(spark, sf_dir)
+    cases = {"as made": (matrix, invalid), "without a row": (matrix.where("expected <> 'en'"), invalid), "without a category": (matrix, invalid.where(F.col("category") != evaluate.CATEGORIES[1]))}
+    found = [evaluate.reconcile(metrics, *tables).select(F.lit(name).alias("report"), "*") for name, tables in cases.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query(f"""WITH p AS (WITH {_scored(7)} {_metrics(7)}), c AS (WITH {_scored(9)} {_metrics(9)})
@@ -367,7 +400,7 @@ def accepted_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("line", "id", "route", F.sha2("input", 256).alias("input_sha256"), F.col("metadata")[review.LINEAGE].alias("lineage"))
 
 
-@query(f"""WITH {_ACCEPT} SELECT r.pos, r.name, count(c.line) AS candidate_rows, count_if(c.selected) AS selected, count_if(c.selected AND c.review = 'approved') AS approved, count_if(c.selected AND c.review = 'rejected') AS reviewer_rejected,
+@query(f"""WITH {_ACCEPT} SELECT r.pos, r.name, count(c.line) AS candidate_rows, count_if(NOT c.valid AND c.status = 'labeled') AS locally_invalid, count_if(c.selected) AS selected, count_if(c.selected AND c.review = 'approved') AS approved, count_if(c.selected AND c.review = 'rejected') AS reviewer_rejected,
 count_if(c.selected AND c.review = 'unreviewed') AS unreviewed, count_if(a.line IS NOT NULL) AS accepted, {_quota_case(ACCEPT_QUOTAS, 'r.name')} AS quota, greatest({_quota_case(ACCEPT_QUOTAS, 'r.name')} - count_if(a.line IS NOT NULL), 0) AS shortfall
 FROM {_values(LANGS)} LEFT JOIN rows_ c ON c.route = r.name LEFT JOIN accepted a ON a.line = c.line GROUP BY r.pos, r.name""")
 def acceptance_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,12 +419,13 @@ def position_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Registries, decisions, calls
 
 
-@query("""WITH p AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, n_name AS old FROM nation WHERE n_nationkey < 5), c AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, CASE WHEN n_nationkey = 3 THEN 'other' ELSE n_name END AS new FROM nation WHERE n_nationkey < 8)
+@query("""WITH p AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, n_name AS old FROM nation WHERE n_nationkey < 20), c AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, CASE WHEN n_nationkey = 3 THEN 'other' ELSE n_name END AS new FROM nation)
 SELECT coalesce(p.pos, c.pos) AS pos, old, new, CASE WHEN old IS NULL THEN 'added' WHEN old = new THEN 'retained' ELSE 'changed' END AS state FROM p FULL JOIN c ON p.pos = c.pos""")
 def registry_prefix_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [r["n_name"] for r in read(spark, sf_dir, "nation").where("n_nationkey < 8").orderBy("n_nationkey").collect()]  # a registry of eight rows
+    """All nations as a child registry of the first twenty."""
+    names = [r["n_name"] for r in read(spark, sf_dir, "nation").select("n_name", "n_nationkey").orderBy("n_nationkey").limit(registry.MAX_ROUTES).collect()]  # a registry has a bounded size
     child = [("other" if i == 3 else n) for i, n in enumerate(names)]
-    found = registry.registry_change(registry.names_registry(spark, names[:5]), registry.names_registry(spark, child))
+    found = registry.registry_change(registry.names_registry(spark, names[:20]), registry.names_registry(spark, child))
     return found.withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -432,6 +466,9 @@ def candidate_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from routelore.operators.enrich import label_candidates
     from routelore.plans.stub import StubClient
 
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("line"), F.concat_ws("|", "doc_id", "lang").alias("input"))
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("line"), F.concat_ws("|", "doc_id", "lang", "text").alias("input"))
     found = label_candidates(docs, StubClient, registry.registry(spark, [registry.Route(n) for n in LANGS]))
     return found.select(F.col("id").alias("doc_id"), "status", "route", "rejection_reason")
+
+
+from routelore.plans import contracts  # noqa: E402, F401  registers the queries over contracts and codecs

@@ -1,4 +1,6 @@
 import hashlib
+import json
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from routelore.functions import codec, text
 from routelore.operators import dataset, enrich, evaluate, migrations, registry, review, sampling, training_data
 from routelore.operators.registry import Route
+from routelore.plans import registry as plans
 from routelore.sources import artifacts, jsonl, pointer
 
 ROUTES = [Route("billing", "Bills", {"id": "string", "urgent": "boolean", "n": "integer", "x": "number"}, ("id",)), Route("other")]
@@ -211,12 +214,90 @@ def test_retries_and_pace():
 
 @pytest.mark.parametrize(("content", "good"), [
     ('{"name": "a"}', True), ('{"name": "a", "arguments": {"x": 1.0}}', True), ('{"name": "a", "name": "b"}', False), ('{"name": "a"} x', False), ('{"name": "a", "arguments": {"x": NaN}}', False),
-    ('{"name": "a", "arguments": {"x": 1e999}}', False), ('{"name": "\\ud800"}', False), ('{"name": ""}', False), ("[]", False), (None, False), ('{"name": "a", "more": 1}', False),
+    ('{"name": "a", "arguments": {"x": 1e999}}', False), ('{"name": "\\ud800"}', True), ('{"name": ""}', False), ("[]", False), (None, False), ('{"name": "a", "more": 1}', False),
 ])
 def test_strict_decisions(content, good):
     assert (enrich.parse_decision(content) is not None) == good
 
 
+@pytest.mark.parametrize(("content", "reason"), [
+    ('{"name": "other", "arguments": {"x": "\\ud800"}}', "invalid_decision"), ('{"name": "\\udfff"}', "invalid_decision"), ('{"name": "other", "arguments": {"\\ud800": 1}}', "invalid_decision"), ('{"name": "zz"}', "invalid_decision"),
+    ('{"name": "open"}', None), ('{"name": "open", "arguments": {"s": "\\ud83d\\ude00"}}', None), ('{"name": "open", "arguments": {"s": "\\ud83d"}}', "invalid_decision"), ("{", "malformed_response"),
+])
+def test_rejections(spark, content, reason):
+    """Lone surrogates are looked for after the route and its arguments are validated."""
+    routes = registry.registry(spark, [registry.Route("other"), registry.Route("open", properties={"s": "string"})])
+
+    class Client:
+        def request(self, text):
+            return enrich.Response("succeeded", text)
+
+    rows = spark.createDataFrame([("i", 1, content)], "id string, line long, input string")
+    assert enrich.label_candidates(rows, Client, routes).first()["rejection_reason"] == reason
+
+
+def raised(name, base=Exception, code=None):
+    error = type(name, (base,), {})("secret detail")
+    if code is not None:
+        error.status_code = code
+    return error
+
+
+@pytest.mark.parametrize(("error", "status", "again"), [
+    (raised("JSONDecodeError", code=500), "transport_failed", True), (raised("ResponseValidationError"), "transport_failed", True), (raised("Http", code=429), "rate_limited", False), (raised("Http", TimeoutError, 408), "timed_out", False), (raised("Http", code=504), "timed_out", False),
+    (raised("Http", code=403), "refused", False), (raised("Http", ConnectionError, 502), "transport_failed", False), (TimeoutError(), "timed_out", True), (raised("ReadTimeout"), "timed_out", True), (ConnectionResetError(), "transport_failed", True), (raised("NetworkDown"), "transport_failed", True),
+    (raised("NoResponseError"), "transport_failed", True), (ValueError(), "transport_failed", False),
+])
+def test_failures_are_classified(monkeypatch, error, status, again):
+    calls = []
+
+    def send(credential, model, messages):
+        calls.append(messages)
+        raise error
+
+    monkeypatch.setenv("PROVIDER_TEST_KEY", "k")
+    client = enrich.ChatClient(send, "m", "policy", "PROVIDER_TEST_KEY")
+    got = enrich.Paced(client, None, 2, 0.0, lambda _: None).request('say "hi"\nnow')
+    assert (got.status, got.attempts, len(calls)) == (status, 3 if again else 1, 3 if again else 1) and got.content is None and got.timestamp.endswith("Z")
+    assert calls[0][0] == {"role": "system", "content": "policy"} and calls[0][1]["content"].endswith('\n"say \\"hi\\"\\nnow"')
+
+
+def test_chat_answers(monkeypatch):
+    monkeypatch.setenv("PROVIDER_TEST_KEY", "k")
+    answers = {"refused": {"choices": [{"message": {"refusal": "no", "content": "{}"}}]}, "text": {"choices": [{"message": {"content": "  {} "}}]}, "none": {"choices": []}}
+    ask = lambda name, variable="PROVIDER_TEST_KEY": enrich.Paced(enrich.ChatClient(lambda *_: answers[name], "m", "p", variable), None, 1, 0.0, lambda _: None).request("x")
+    assert (ask("refused").status, ask("refused").attempts) == ("refused", 1)
+    assert (ask("text").content, ask("none").status, ask("none").content, ask("none").attempts) == ("{}", "succeeded", None, 2)
+    monkeypatch.delenv("PROVIDER_TEST_KEY")
+    assert (ask("text").status, ask("text").attempts) == ("transport_failed", 1)
+
+
+def test_leakage_equals_brute_force(spark, tmp_path):
+    """Compatibility forms, composed and decomposed accents, full case folding and odd spaces."""
+    texts = ["ﬁne Straße", "fine  STRASSE", "ｆｕｌｌ width", "full\u2003width ", "cafe\u0301", "CAFÉ", "ǆ", "Ǆ", "µ", "μ", "ς", "Σ", "ﬃ x", "ffi  x", "", None, " ", "İ", "i̇", "unlike"] * 2
+    rows = [(i, t, ["en", "de"][i % 2], "s", 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    norm = lambda t: " ".join(unicodedata.normalize("NFKC", t).casefold().split())
+    first, want = {}, []
+    for i, t, *_ in rows:
+        if t is not None:
+            if norm(t) in first:
+                want.append((i, first[norm(t)]))
+            first.setdefault(norm(t), i)
+    got = [(r.doc_id, r.first_id) for r in plans.QUERIES["normalized_leakage"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want) and len([i for i, _ in want if i < 20]) >= 7
+    child = [(i - i % 3, t) for i, t, *_ in rows if i % 4]
+    replay = [(i, t) for i, t, *_ in rows if i % 4 == 0]
+    want = [(i, "id") for i, _ in replay if i in {c for c, _ in child}] + [(i, "input") for i, t in replay if t is not None and norm(t) in {norm(c) for _, c in child if c is not None}]
+    assert sorted((r.id, r.reason) for r in plans.QUERIES["regression_separation"](spark, str(tmp_path)).collect()) == sorted(want)
+
+
+def test_tool_calls(spark):
+    rows = spark.createDataFrame([("a", {"k": ("string", 'q "\n,"name":"x"} é'), "n": ("integer", "7")}), ('n"m', {})], "route string, arguments map<string,struct<kind:string,text:string>>")
+    got = [json.loads(r.c)["tool_calls"][0] for r in rows.select(codec.render_tool_call(F.col("route"), F.col("arguments")).alias("c")).collect()]
+    assert [(c["type"], c["function"]["name"], json.loads(c["function"]["arguments"])) for c in got] == [("function", "a", {"k": 'q "\n,"name":"x"} é', "n": 7}), ("function", 'n"m', {})]
+
+
 # Sources and artifacts
 
 
