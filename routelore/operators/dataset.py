@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from routelore.functions.text import blank
+from routelore.operators.registry import small
 
 PARTITIONS = ["train", "validation", "test"]
+#: Parts whose coverage may be asked for.
+MAX_PARTS = 10_000
 VIOLATION_DDL = "seq bigint, source string, line bigint, path string, message string, correction string"
 
 
@@ -18,7 +21,7 @@ class DatasetError(ValueError):
 
 
 def zero_filled(counts: DataFrame, routes: DataFrame, on: str, values: list[str]) -> DataFrame:
-    """Every registered route with its counts, zero where it has none.  Registries have a checked size."""
+    """Every registered route with its counts (at most a row a route), zero where it has none."""
     known = routes.select("pos", F.col("name").alias("__name"))
     joined = known.join(counts, F.col("__name") == F.col(on), "left")
     return joined.select("pos", F.col("__name").alias("name"), *[F.coalesce(F.col(v), F.lit(0)).cast("long").alias(v) for v in values])
@@ -31,8 +34,11 @@ def distribution(examples: DataFrame, routes: DataFrame, part: str = "part", rou
 
 
 def coverage_gaps(examples: DataFrame, routes: DataFrame, parts: DataFrame, part: str = "part", route: str = "route") -> DataFrame:
-    """(part, route) that no example covers. ``parts`` and the registry are small, checked tables."""
-    want = parts.select(F.col(part)).distinct().join(F.broadcast(routes.select("pos", F.col("name").alias(route))), how="cross")
+    """(part, route) that no example covers: one row for each of at most MAX_PARTS parts and each route is looked up."""
+    parts = parts.select(F.col(part)).distinct()
+    if parts.limit(MAX_PARTS + 1).count() > MAX_PARTS:
+        raise ValueError(f"more than {MAX_PARTS} parts")
+    want = parts.join(small(routes, routes.select("pos", F.col("name").alias(route))), how="cross")
     have = examples.groupBy(part, route).agg(F.count("*").alias("n"))
     return want.join(have, [part, route], "left").where(F.coalesce("n", F.lit(0)) == 0).select(part, "pos", route)
 
@@ -73,8 +79,8 @@ def validate(examples: DataFrame, normalized: Column, routes: DataFrame | None =
     by_text = first_declared(good, ["normalized"], order).select("part_pos", "line", F.lit(2).alias("rank"), "source", F.lit("input").alias("path"), place("normalized input").alias("message"), F.lit("remove or change the input").alias("correction"))
     found = bad_id.unionByName(by_id).unionByName(by_text)
     if routes is not None:
-        parts = examples.select("part_pos", "part", "source").distinct()
-        gaps = coverage_gaps(examples, routes, parts).join(F.broadcast(parts), "part")
+        parts = examples.groupBy("part_pos", "part").agg(F.min("source").alias("source"))
+        gaps = coverage_gaps(examples, routes, parts).join(parts, "part")
         found = found.unionByName(gaps.select((F.lit(1_000_000) + F.col("part_pos")).cast("int").alias("part_pos"), F.col("pos").cast("long").alias("line"), F.lit(3).alias("rank"), "source", F.lit("route").alias("path"), F.concat(F.lit("no example of route "), "route").alias("message"), F.lit("add an example").alias("correction")))
     return found.orderBy("part_pos", "line", "rank")
 

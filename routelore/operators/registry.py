@@ -39,7 +39,19 @@ def registry(spark: SparkSession, routes: Iterable[Route]) -> DataFrame:
         raise ValueError("a registry has one route at least, and distinct names")
     if len(routes) > MAX_ROUTES:
         raise ValueError(f"a registry has at most {MAX_ROUTES} routes")
-    return spark.createDataFrame([(i, r.name, r.description, dict(r.properties), list(r.required)) for i, r in enumerate(routes)], REGISTRY_DDL)
+    out = spark.createDataFrame([(i, r.name, r.description, dict(r.properties), list(r.required)) for i, r in enumerate(routes)], REGISTRY_DDL)
+    out._routes = len(routes)  # so that it need not be counted again
+    return out
+
+
+def small(routes: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """``routes``, or ``of`` that was selected from it, to be broadcast: a registry of any other making is counted first."""
+    if getattr(routes, "_routes", None) is None:
+        n = routes.limit(MAX_ROUTES + 1).count()
+        if n > MAX_ROUTES:
+            raise ValueError(f"a registry has at most {MAX_ROUTES} routes")
+        routes._routes = n
+    return F.broadcast(routes if of is None else of)
 
 
 def names_registry(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -72,7 +84,7 @@ def argument_corrections(arguments: Column, properties: Column, required: Column
 def validate_decisions(rows: DataFrame, routes: DataFrame, route: str = "route", arguments: str = "arguments") -> DataFrame:
     """``rows`` with category (null, unknown_route or invalid_arguments), errors and corrections."""
     known = routes.select(F.col("name").alias("__name"), F.col("properties").alias("__properties"), F.col("required").alias("__required"))
-    joined = rows.join(F.broadcast(known), F.col(route) == F.col("__name"), "left")
+    joined = rows.join(small(routes, known), F.col(route) == F.col("__name"), "left")
     found = joined.withColumn("errors", F.when(F.col("__name").isNotNull(), argument_errors(F.col(arguments), F.col("__properties"), F.col("__required"))))
     found = found.withColumn("corrections", F.when(F.col("__name").isNotNull(), argument_corrections(F.col(arguments), F.col("__properties"), F.col("__required"))))
     category = F.when(F.col("__name").isNull(), "unknown_route").when(F.size("errors") > 0, "invalid_arguments")

@@ -200,7 +200,8 @@ _FOLD = "trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '\\s+', ' ', 'g'))"
 
 
 def normalized_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize("text"), 256).alias("normalized"))
+    """(doc_id, digest), kept by Spark: what compares them reads them twice."""
+    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize("text"), 256).alias("normalized")).persist()
 
 
 @query(f"""WITH f AS (SELECT doc_id, {_FOLD.format("text")} AS normalized FROM documents)
