@@ -6,10 +6,11 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,7 +92,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def with_fields(df: DataFrame, *fields: tuple[str, str]) -> T.StructType:
     """The schema of ``df`` and further (name, DDL type) fields behind."""
-    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields)).fields])
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in fields)).fields])
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -100,3 +101,17 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def named(columns: list[str]) -> list[Column]:
+    """Columns by their whole names, dots and backticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """mapInArrow, also of tables with dots or backticks in their column names, which it doesn't take."""
+    plain = {c: free_name(df, f"odd_{i}") for i, c in enumerate(df.columns) if "." in c or "`" in c}
+    if not plain:
+        return df.mapInArrow(run, schema)
+    inner = T.StructType([T.StructField(plain.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
+    return df.toDF(*[plain.get(c, c) for c in df.columns]).mapInArrow(run, inner).toDF(*schema.names)

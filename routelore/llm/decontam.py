@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import configure, mix64, with_fields
+from .common import configure, map_rows, mix64, with_fields
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -247,7 +247,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, th
                     keep[[begin + k for k, *_ in index.search(texts[begin:end])]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = map_rows(docs, run, schema)
     return docs
 
 

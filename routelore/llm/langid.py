@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import configure, free_name, join_small, with_fields
+from .common import configure, free_name, join_small, map_rows, named, with_fields
 
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 600
@@ -108,7 +108,7 @@ def predict(spark: SparkSession, df: DataFrame, dictionaries: dict[str, bytes],
             found = [classifier.predict(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*batch.schema.names, *into])
 
-    return df.mapInArrow(run, schema)
+    return map_rows(df, run, schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -131,4 +131,4 @@ def keep_identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents whose language is told with a sufficient margin, in their own columns."""
     dictionaries = train(docs.where(~held_out()))
     into = (free_name(docs, "lang_pred"), free_name(docs, "lang_score"))
-    return predict(spark, docs, dictionaries, into=into).where(~rejected(*into)).select(*docs.columns)
+    return predict(spark, docs, dictionaries, into=into).where(~rejected(*into)).select(*named(docs.columns))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import BROADCAST_ROWS, configure, join_small, stash
+from .common import BROADCAST_ROWS, configure, join_small, named, stash
 
 #: At most this many sources may meet in one array; beyond it the call is refused.
 MAX_SOURCES = 100_000
@@ -174,7 +174,7 @@ def mix_rows(spark: SparkSession, docs: DataFrame, repeat_limit: float = REPEAT_
     edge = edge.where(base + F.col("before") + F.col("inside") < F.col("source_budget")).groupBy("source").agg(F.max("at").alias("at"))
     places = weights.join(last.select("source", "order"), "source").join(edge, "source").select("source", "n_blocks", "epochs", "order", "at").checkpoint()
 
-    keyed = docs.select("doc_id", F.coalesce(F.md5("text"), F.lit("")).alias("digest"), F.coalesce("source", F.lit("")).alias("source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    keyed = docs.select("doc_id", F.coalesce(F.md5("text"), F.lit("")).alias("digest"), F.coalesce("source", F.lit("")).alias("source"), F.struct(*named(docs.columns)).alias("row"))
     repeated = rows.where("copy = 2").select("doc_id", "digest", "source").checkpoint()
     keyed = _copies(keyed, repeated) if repeated.limit(1).count() else keyed.withColumn("copy", F.lit(1).cast("long"))
     keyed = keyed.join(F.broadcast(places), "source")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import configure, join_small
+from .common import configure, join_small, named
 
 MIN_WORDS = 50
 #: Standard deviations of a count that are put down to chance.
@@ -74,12 +74,12 @@ def _repeat_words(column: str, words: str = "ws") -> str:
 def figures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the five base figures in place of the text; input columns of those names are replaced."""
     keep = [c for c in docs.columns if c != text and c.lower() not in FIGURES]
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__t"))
+    rows = docs.select(*named(keep), F.coalesce(F.col(text), F.lit("")).alias("__t"))
     rows = rows.withColumn("__w", F.expr(f"filter(split(__t, '{_SPACE}+'), w -> w <> '')"))
     lines = F.expr(f"filter(split(__t, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')")
     rows = rows.withColumn("__l", lines)
     return rows.select(
-        *keep,
+        *named(keep),
         F.size("__w").cast("long").alias("n_words"),
         F.expr("aggregate(__w, 0L, (a, w) -> a + length(w))").alias("word_chars"),
         (F.length("__t") - F.length(F.translate("__t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),

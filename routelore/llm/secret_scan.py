@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import configure, join_small, with_fields
+from .common import configure, join_small, named, with_fields
 
 #: Most distinct owners of a value that still counts as owner-specific.
 MAX_OWNERS = 2
@@ -102,7 +102,7 @@ def candidates(spark: SparkSession, df: DataFrame, text: str = "text") -> DataFr
     """``df`` without its text, with the column candidates and the text's digest as row_key."""
     configure(spark)
     keep = [c for c in df.columns if c != text]
-    schema = with_fields(df.select(*keep), ("candidates", CANDIDATE_DDL), ("row_key", "string"))
+    schema = with_fields(df.select(*named(keep)), ("candidates", CANDIDATE_DDL), ("row_key", "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

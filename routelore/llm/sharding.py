@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import free_name, named
 
 #: Prime number of slots of the production table (a fixed, proven broadcast size).
 SLOTS = 65_537
@@ -65,7 +65,7 @@ def assign_shards(spark: SparkSession, df: DataFrame, key: Column, shards: list[
     slot, shard = free_name(df, "slot"), free_name(df, "shard")
     table = fill_table(shards, slots)
     lookup = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(table.tolist())], f"`{slot}` long, `{shard}` string")
-    return df.withColumn(slot, slot_of(key, slots)).join(F.broadcast(lookup), slot, "left").select(*[F.col(f"`{c}`") for c in df.columns], slot, shard)
+    return df.withColumn(slot, slot_of(key, slots)).join(F.broadcast(lookup), slot, "left").select(*named(df.columns), slot, shard)
 
 
 def shard_names(n: int = SHARDS) -> list[str]:
