@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routelore.functions import codec, text
@@ -142,24 +142,30 @@ def char_tokenizer():
 _CALL_TEXT = "'ask ' || conv_id || '<start_function_call>' || role"
 
 
+def _listed(column: str) -> Column:
+    """An array as text, which any comparison takes."""
+    return F.array_join(F.col(column).cast("array<string>"), " ").alias(column)
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.concat(F.lit("ask "), F.col("conv_id").cast("string"), F.when(F.col("turn") % 5 != 4, codec.CALL).otherwise(""), F.col("role")).alias("compiled"))
     return training_data.token_records(rows, char_tokenizer, 40)
 
 
 @query(f"""WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 5 <> 4 THEN {_CALL_TEXT} END AS t, length('ask ' || conv_id) AS p FROM conversations)
-SELECT conv_id, turn, CASE WHEN length(t) <= 40 THEN list_transform(range(1, length(t) + 1), lambda i: unicode(t[i])) END AS input_ids, CASE WHEN length(t) <= 40 THEN list_transform(range(1, length(t) + 1), lambda i: CASE WHEN i <= p THEN -100 ELSE unicode(t[i]) END) END AS labels,
+SELECT conv_id, turn, CASE WHEN length(t) <= 40 THEN array_to_string(list_transform(range(1, length(t) + 1), lambda i: unicode(t[i])), ' ') END AS input_ids, CASE WHEN length(t) <= 40 THEN array_to_string(list_transform(range(1, length(t) + 1), lambda i: CASE WHEN i <= p THEN -100 ELSE unicode(t[i]) END), ' ') END AS labels,
 CASE WHEN t IS NULL THEN 'not exactly one call' WHEN length(t) > 40 THEN 'more than 40 tokens' END AS error FROM c""")
 def token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(spark, sf_dir).select("conv_id", "turn", "input_ids", "labels", "error")
+    return _records(spark, sf_dir).select("conv_id", "turn", _listed("input_ids"), _listed("labels"), "error")
 
 
 @query("""WITH d AS (SELECT doc_id, doc_id // 8 AS batch, doc_id % 11 + 1 AS n FROM documents), w AS (SELECT *, max(n) OVER (PARTITION BY batch) AS width FROM d)
-SELECT doc_id, batch, list_concat(range(n), list_transform(range(width - n), lambda x: -1)) AS input_ids, list_concat(list_transform(range(n), lambda x: 7), list_transform(range(width - n), lambda x: -100)) AS labels, list_concat(list_transform(range(n), lambda x: 1), list_transform(range(width - n), lambda x: 0)) AS attention_mask FROM w""")
+SELECT doc_id, batch, array_to_string(list_concat(range(n), list_transform(range(width - n), lambda x: -1)), ' ') AS input_ids, array_to_string(list_concat(list_transform(range(n), lambda x: 7), list_transform(range(width - n), lambda x: -100)), ' ') AS labels,
+array_to_string(list_concat(list_transform(range(n), lambda x: 1), list_transform(range(width - n), lambda x: 0)), ' ') AS attention_mask FROM w""")
 def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = (F.col("doc_id") % 11 + 1).cast("int")
     rows = read(spark, sf_dir, "documents").select("doc_id", F.transform(F.sequence(F.lit(1), n), lambda x: x - 1).alias("input_ids"), F.array_repeat(F.lit(7), n).alias("labels"))
-    return training_data.collate(rows, "doc_id", 8, -1)
+    return training_data.collate(rows, "doc_id", 8, -1).select("doc_id", "batch", *map(_listed, ("input_ids", "labels", "attention_mask")))
 
 
 # Positions, separation and versions
