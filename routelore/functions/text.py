@@ -11,8 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: White space as Python's str.strip sees it, in Java's syntax.
-SPACE = r"(?U)[\s\x1c-\x1f]+"
 #: Characters that begin a spreadsheet formula, and the shapes of timestamps.
 CSV_FORMULA = r"^[=+\-@\t\r\n]"
 RFC_3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
@@ -20,7 +18,7 @@ RFC_3339_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?Z$"
 
 
 def strip(text: Column) -> Column:
-    """Without leading and trailing Unicode white space."""
+    """Without leading and trailing white space as Python's str.strip sees it, in Java's syntax."""
     return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 

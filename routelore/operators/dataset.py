@@ -13,7 +13,6 @@ from routelore.operators.registry import small
 PARTITIONS = ["train", "validation", "test"]
 #: Parts whose coverage may be asked for.
 MAX_PARTS = 10_000
-VIOLATION_DDL = "seq bigint, source string, line bigint, path string, message string, correction string"
 
 
 class DatasetError(ValueError):

@@ -113,10 +113,14 @@ def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", "stamp", text.valid_timestamp(spelled).alias("any_zone"), text.valid_timestamp(spelled, utc_only=True).alias("utc"))
 
 
-@query("SELECT page_id, regexp_matches(url, '^https?://[^/?#@]+(/[^?#]*)?$') AS plain, false AS with_user, regexp_matches(url, '^https?://[^/?#@]+') AND false AS other_scheme FROM pages")
+_GOOD_URL = "regexp_matches({}, '^https?://[^/?#@]+(/[^?#]*)?$')"
+
+
+@query(f"""SELECT page_id, {_GOOD_URL.format("url")} AS plain, {_GOOD_URL.format("replace(url, '://', '://a:b@')")} AS with_user, {_GOOD_URL.format("regexp_replace(url, '^https?', 'ftp')")} AS other_scheme,
+{_GOOD_URL.format("regexp_replace(url, '[?#].*$', '')")} AS cut FROM pages""")
 def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.col("url")
-    return read(spark, sf_dir, "pages").select("page_id", text.valid_endpoint(u).alias("plain"), text.valid_endpoint(F.regexp_replace(u, "://", "://a:b@")).alias("with_user"), text.valid_endpoint(F.regexp_replace(u, "^https?", "ftp")).alias("other_scheme"))
+    return read(spark, sf_dir, "pages").select("page_id", text.valid_endpoint(u).alias("plain"), text.valid_endpoint(F.regexp_replace(u, "://", "://a:b@")).alias("with_user"), text.valid_endpoint(F.regexp_replace(u, "^https?", "ftp")).alias("other_scheme"), text.valid_endpoint(F.regexp_replace(u, "[?#].*$", "")).alias("cut"))
 
 
 @query("""SELECT doc_id, sha256(trim(text, ' ' || chr(9) || chr(10) || chr(13))) AS stripped, length(trim(text, ' ' || chr(9) || chr(10) || chr(13))) = 0 AS is_blank FROM documents""")

@@ -15,7 +15,6 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 LANGS = ["en", "fr", "de", "es", "xx"]
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 QUOTAS = {"click": 40, "view": 25, "purchase": 10, "never": 5}
 MINIMUMS = {"valid_decision_rate": 0.5, "route_accuracy": 0.5, "argument_accuracy": 0.9}
 SEED = 42

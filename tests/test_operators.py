@@ -10,6 +10,7 @@ from routelore.operators import dataset, enrich, evaluate, migrations, registry,
 from routelore.operators.registry import Route
 from routelore.plans import registry as plans
 from routelore.sources import artifacts, jsonl, pointer
+from routelore.streaming import ingest
 
 ROUTES = [Route("billing", "Bills", {"id": "string", "urgent": "boolean", "n": "integer", "x": "number"}, ("id",)), Route("other")]
 
@@ -298,6 +299,24 @@ def test_tool_calls(spark):
     assert [(c["type"], c["function"]["name"], json.loads(c["function"]["arguments"])) for c in got] == [("function", "a", {"k": 'q "\n,"name":"x"} é', "n": 7}), ("function", 'n"m', {})]
 
 
+def test_framed_fingerprint(spark):
+    rows = [(2, "é" * 300), (0, ""), (1, "a\nb")]
+    want = hashlib.sha256(b"".join(len(t.encode()).to_bytes(8, "big") + t.encode() for _, t in sorted(rows))).hexdigest()
+    assert artifacts.framed_fingerprint(spark.createDataFrame(rows, "at long, text string"), "at", "text") == want
+
+
+def test_streamed_counts_and_first_ids(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.jsonl").write_text("".join(json.dumps({"ts": f"2024-01-01T00:{m:02}:00Z", "id": i, "route": r}) + "\n" for m, i, r in [(1, "x", "a"), (2, "x", "a"), (3, "y", "b"), (12, "z", "a")]))
+    stream = spark.readStream.schema("ts timestamp, id string, route string").json(str(source))
+    for name, df in (("first_ids", ingest.first_of_each_id(stream)), ("route_counts", ingest.running_distribution(stream))):
+        running = df.writeStream.format("memory").queryName(name).outputMode("append" if name == "first_ids" else "update").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        running.awaitTermination(60)
+    assert sorted(r.id for r in spark.table("first_ids").collect()) == ["x", "y", "z"]
+    assert sorted((r.route, r.n) for r in spark.table("route_counts").collect()) == [("a", 1), ("a", 2), ("b", 1)]
+
+
 # Sources and artifacts
 
 
@@ -381,7 +400,6 @@ def test_token_records_and_batches(spark):
 
 
 def test_stream(spark, tmp_path):
-    from routelore.streaming import ingest
 
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.jsonl").write_text('{"id": "1", "t": "a@b.cd"}\n{"id": " ", "t": "x"}\n{"t": "y"}\n')
