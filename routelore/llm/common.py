@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words are runs of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of an Arrow batch handed to Python; texts of 100 KB then still make batches of some 50 MB.
 BATCH_ROWS = 500
 #: A side is broadcast only when it was counted and has at most this many (narrow) rows.

@@ -46,8 +46,6 @@ PIECES = frozenset("table tbody tr td blockquote details figure fieldset center
 RAW = frozenset("script style textarea iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LEFT_OUT = frozenset("head title nav footer aside menu dialog button select label fieldset noscript template svg math object canvas audio video".split())
-#: Elements that may also be a frame of the article.
-MARKED = frozenset("form header".split())
 FRAMES = frozenset("article main h1".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Class and id words of boilerplate; the second set counts only where no word of the third is beside it.
