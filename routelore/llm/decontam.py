@@ -58,18 +58,19 @@ class WordHashes:
         """Hash of every shingle, in order."""
         known = self.known
         try:
-            h = [known[w] for w in words]
+            x = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
             if len(known) > self.bound:
                 known.clear()
             for w in words:
                 if w not in known:
                     known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-            h = [known[w] for w in words]
-        x = np.array(h, np.uint64)
+            x = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        x = mix64(x)
         out = np.zeros(max(0, len(x) - n + 1), np.uint64)
         for k in range(n):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + mix64(x[k : k + len(out)])
+            out *= np.uint64(0x9E3779B97F4A7C15)
+            out += x[k : k + len(out)]
         return mix64(out)
 
 
@@ -145,26 +146,28 @@ class Index:
             flat[at * smallest : at * smallest + len(hashed[k])] = hashed[k]
             pad[at * smallest : at * smallest + len(hashed[k])] = False
             at += r
-        owner = np.repeat(np.array(used), runs)
+        # runs are joined in pairs inside each text, level by level, in the same way for every permutation
+        own, u, levels = np.repeat(np.array(used), runs), smallest, []
+        while True:
+            same = own[1:] == own[:-1]
+            first = np.flatnonzero(np.r_[True, ~same])
+            place = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
+            even = np.flatnonzero(place % 2 == 0)
+            after = np.minimum(even + 1, len(own) - 1)
+            levels.append((u, own, np.flatnonzero(same), even, np.where(own[after] == own[even], after, even)))
+            if u >= largest:
+                break
+            own, u = own[even], u * 2
         for p in range(PERMUTATIONS):
             v = permuted(flat, self.seeds[p])
             v[pad] = TOP
-            level, own, u = v.reshape(-1, smallest).min(axis=1), owner, smallest
-            while True:
+            level = v.reshape(-1, smallest).min(axis=1)
+            for u, own, paired, even, after in levels:
                 if u in self.classes:
                     window = level.copy()
-                    same = own[1:] == own[:-1]
-                    window[:-1][same] = np.minimum(level[:-1], level[1:])[same]
+                    window[paired] = np.minimum(level[paired], level[paired + 1])
                     self._hits(own, window, *(x[p] for x in self.classes[u]), found)
-                if u >= largest:
-                    break
-                # runs are joined in pairs inside each text
-                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                place = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
-                even = np.flatnonzero(place % 2 == 0)
-                nxt = np.minimum(even + 1, len(own) - 1)
-                level = np.where(own[nxt] == own[even], np.minimum(level[even], level[nxt]), level[even])
-                own, u = own[even], u * 2
+                level = np.minimum(level[even], level[after])
         return found
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
