@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +80,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def run_starts(column: pa.Array) -> np.ndarray:
+    """Places at which a value differs from the one before; nulls are equal to each other."""
+    n = len(column)
+    if not n:
+        return np.zeros(0, np.int64)
+    a, b = column.slice(1), column.slice(0, n - 1)
+    differs = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(a.is_null(), b.is_null()))
+    return np.append(0, np.flatnonzero(differs.to_numpy(zero_copy_only=False)) + 1)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply rounds), vectorised."""
     x = x ^ (x >> np.uint64(33))

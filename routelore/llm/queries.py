@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, langid, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, token_counts
+from . import decontam, html_extract, langid, mixing, prefix_trie, quality, repair, secret_scan, sharding, simhash, suffix_dedup, token_counts, toxicity
 from .common import read
 
 
@@ -52,8 +52,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_query(spark, read(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_query(spark, read(spark, sf_dir, "conversations"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_query(spark, read(spark, sf_dir, "conversations"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_query(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 #: Every registered query.
-QUERIES = [op1_suffix_dedup, op2_decontamination, op3_quality, op4_sharding, op5_html, op6_secrets, op7_language, op8_mixing, op9_token_counts, op10_simhash]
+QUERIES = [
+    op1_suffix_dedup, op2_decontamination, op3_quality, op4_sharding, op5_html, op6_secrets, op7_language, op8_mixing, op9_token_counts, op10_simhash,
+    op11_repair, op12_prefix_trie, op13_toxicity,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,0 +1,215 @@
+"""Conversation repair and the prefix trie against versions that go over all edits and all prefixes."""
+
+import hashlib
+import itertools
+import re
+import zlib
+from functools import cache
+
+import pytest
+from pyspark.sql import functions as F
+
+from routelore.llm import prefix_trie, queries, repair
+
+SMALL = "/root/testdata/sf0.001"
+TURNS = "conv_id long, turn long, role string, text string"
+ODD = [
+    (None, None, None, None), (None, 1, "user", "Null id."), (1, None, "user", "No turn."), (1, 0, None, "x."), (1, 1, "assistant", None), (2, 5, "", "empty role."),
+    (2, 5, "", "empty role."), (2, 9, "system", "  \t"), (3, -4, "user", "a:b\né\U0001f600!"), (3, -4, "user", "a:b\né\U0001f600!"), (100, 0, "system", "S."),
+    (100, 1, "user", "Q?  \n"), (100, 2, "assistant", "A"), (100, 3, "agent", "x" * 300_000 + "."), (101, 0, "user", "Q?"), (-5, 0, "user", "Q?"), (-5, 1, "assistant", "A."),
+    (1234567, 3, "user", "Q?"), (1234567, 3, "assistant", "tie."), (1234567, 3, "user", "tie."),
+]
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def order(row):
+    digest = hashlib.md5(f"{len(row[2])}:{row[2]}{row[3]}".encode()).digest()
+    return (row[1] is not None, row[1] or 0, digest)
+
+
+def grouped(rows):
+    out = {}
+    for row in rows:
+        out.setdefault(row[0], []).append(row)
+    return out
+
+
+def cheapest(rows):
+    """(cost, edits, repaired turns) of rows (initial, fault, role, text), by trying every edit everywhere."""
+
+    @cache
+    def best(i, state, added):
+        options = [(0, "", ())] if i == len(rows) and state in "0a" else []
+        new = "a" if state == "u" else "u"
+        name = {"u": "user", "a": "assistant"}[new]
+        if added < 2:
+            c, e, t = best(i, new, added + 1)
+            options.append((c + 2, "I" + e, ((name, ""), *t)))
+        if i < len(rows):
+            initial, fault, role, text = rows[i]
+            c, e, t = best(i + 1, state, 0)
+            options.append((c + 3, "D" + e, t))
+            if fault not in ("blank", "duplicate"):
+                late = fault == "truncated"
+                c, e, t = best(i + 1, new, 0)
+                options.append((c + 2 + late, "R" + e, ((name, text), *t)))
+                if (state + initial) in ("0s", "0u", "su", "ua", "au"):
+                    c, e, t = best(i + 1, initial, 0)
+                    options.append((c + late, "K" + e, ((role, text), *t)))
+        return min(options, default=(10**9, "", ()))
+
+    return best(0, "0", 0)
+
+
+def report(rows, damage=True):
+    """The expected row of each conversation."""
+    out = {}
+    for conv, members in grouped(rows).items():
+        held = []
+        for c, turn, role, text in members:
+            role, text = " " if role is None else role, " " if text is None else text
+            fate = zlib.crc32(f"{' ' if c is None else c}:{' ' if turn is None else turn}".encode()) % 20 if damage else 19
+            if fate == 0:
+                continue
+            text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+            held += [(c, turn, "user" if fate == 4 else role, text)] * (2 if fate == 3 else 1)
+        held.sort(key=order)
+        seen, faulty = set(), []
+        for _, _, role, text in held:
+            bare = text.rstrip(WHITE)
+            fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faulty.append((role[:1], fault, role, text))
+        turns = [t for _, t, _, _ in held if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in itertools.pairwise(faulty))
+        cost, audit, repaired = cheapest(tuple(faulty))
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in repaired).encode()).hexdigest()
+        out[conv] = (gaps, *(sum(f[1] == k for f in faulty) for k in ("blank", "duplicate", "truncated")), pairs, cost, audit, digest)
+    return out
+
+
+def made(rng, n=300):
+    rows = []
+    for conv in range(n):
+        for turn in range(rng.choice([1, 2, 3, 4, 5, 8, 9, 17])):
+            rows.append((conv, rng.choice([turn, turn, turn, turn + 1, None]), rng.choice(["user", "assistant", "system", "tool", "agent"]), rng.choice(["Yes.", "no", "", "Why?", " \n", f"t{conv}.{turn}!"])))
+    return rows
+
+
+def found(df):
+    return {r[0]: tuple(r[1:]) for r in df.collect()}
+
+
+def test_repair_equals_trying_every_edit(spark, rng):
+    rows = made(rng) + ODD
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], TURNS + ", counts long")
+    assert found(repair.repair_query(spark, df)) == report(rows)
+    assert found(queries.op11_repair(spark, SMALL)) == report([tuple(r) for r in spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()])
+    assert found(repair.repair_query(spark, df.limit(0))) == {}
+
+
+def test_edits_follow_the_grammar(rng):
+    for n in range(5):
+        for rows in itertools.product([("s", ""), ("u", ""), ("a", "truncated"), ("t", ""), ("u", "duplicate")], repeat=n):
+            cost, audit, turns = cheapest(tuple((i, f, i, "x.") for i, f in rows))
+            assert re.fullmatch("(s?(ua)+)?", "".join(r[0] for r, _ in turns)) and len(audit.replace("I", "")) == n
+
+
+def test_repaired_turns(spark):
+    rows = [(1, 0, "user", "Hi."), (1, 1, "user", "Well?"), (1, 2, "assistant", "Yes."), (1, 2, "assistant", "Yes."), (2, 0, "system", "S.")]
+    out = repair.repair(spark, spark.createDataFrame(rows, TURNS)).orderBy("conv_id", "position").collect()
+    assert [tuple(r) for r in out] == [(1, 1, "K", "user", "Hi."), (1, 2, "I", "assistant", ""), (1, 3, "K", "user", "Well?"), (1, 4, "K", "assistant", "Yes.")]
+
+
+def test_one_conversation_holds_most_rows(spark, rng, monkeypatch):
+    rows = [(7, t, rng.choice(["user", "assistant"]), rng.choice([f"Turn {t}.", "Same.", "cut"])) for t in range(3000)] + made(rng, 40)
+    kept = [r for r in rows if r[0] != 7]
+    assert {k: v for k, v in found(repair.repair_query(spark, spark.createDataFrame(rows, TURNS))).items() if k != 7} == {k: v for k, v in report(kept).items() if k != 7}
+    import sys
+
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(100_000)
+    try:
+        hot = [r for r in rows if r[0] == 7 and r[3].startswith("Turn")][:900] + [r for r in made(rng, 7) if r[0] == 6]
+        assert found(repair.repair_query(spark, spark.createDataFrame(hot, TURNS))) == report(hot)
+    finally:
+        sys.setrecursionlimit(limit)
+
+
+def nodes(rows):
+    """The expected nodes, from every prefix of every rebuilt conversation."""
+    rows = [(c, t, r or "", x or "") for c, t, r, x in rows if c is not None]
+    convs = {c: [(r, x) for _, _, r, x in sorted(v, key=order)] for c, v in grouped(rows).items()}
+    made_of = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - int(c / 100) * 100
+        made_of[c] = tuple(convs.get(c - base, [])[:h] + own[h:])
+    members = {}
+    for c, path in made_of.items():
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    children = {}
+    for path in members:
+        if path:
+            children.setdefault(path[:-1], []).append(path)
+    leaves, saved, out = {}, {}, set()
+    for path in sorted(members, key=len, reverse=True):
+        below = children.get(path, [])
+        leaves[path] = sum(leaves[b] for b in below) or 1
+        saved[path] = sum(saved[b] for b in below) + (len(members[path]) - 1) * (len(path[-1][1]) if path else 0)
+        ends = ",".join(str(c) for c in sorted(members[path]) if len(made_of[c]) == len(path))
+        parent = min(members[path[:-1]]) if path else None
+        out.add((min(members[path]), len(path), parent, len(members[path]), len(below), leaves[path], saved[path], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def trie_rows(df):
+    got = [tuple(r) for r in df.select(*COLUMNS).collect()]
+    assert len(set(got)) == len(got)
+    return set(got)
+
+
+def shared(rng, n=400):
+    """Conversations that begin alike, many of them equal, one very long."""
+    rows = []
+    for conv in range(n):
+        size = rng.choice([1, 2, 3, 4, 6, 7])
+        rows += [(conv, t, "user" if t % 2 == 0 else "assistant", "abc"[: rng.choice([1, 1, 1, 2])] * (t + 1)) for t in range(size)]
+    rows += [(n + 7, t, "user", f"{t}") for t in range(600)] + [(n + 8, t, "user", f"{t}") for t in range(500)]
+    return rows
+
+
+@pytest.mark.parametrize("piece, share", [(prefix_trie.PIECE, prefix_trie.SHARE), (2, 3)])
+def test_trie_equals_all_prefixes(spark, rng, monkeypatch, piece, share):
+    monkeypatch.setattr(prefix_trie, "PIECE", piece)
+    monkeypatch.setattr(prefix_trie, "SHARE", share)
+    rows = shared(rng) + ODD
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(*r, "x") for r in rows], TURNS + ", path string")
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert trie_rows(prefix_trie.prefix_query(spark, df)) == nodes(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    assert prefix_trie.prefix_query(spark, df.limit(0)).count() == 0
+
+
+def test_trie_of_the_small_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    df = queries.op12_prefix_trie(spark, SMALL)
+    assert trie_rows(df) == nodes(rows)
+    spans = [tuple(r) for r in df.select("place", "end_place", "n_convs").collect()]
+    assert sorted(s[0] for s in spans) == list(range(len(spans))) and all(a <= b for a, b, _ in spans)
+
+
+def test_same_copies_share_a_leaf(spark):
+    rows = [(c, t, "user", f"{t}") for c in range(50_001, 50_061) for t in range(7)]
+    out = prefix_trie.prefix_query(spark, spark.createDataFrame(rows, TURNS))
+    assert trie_rows(out) == nodes(rows) and out.agg(F.sum("n_children")).first()[0] == out.count() - 1
