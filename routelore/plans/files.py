@@ -38,15 +38,15 @@ def _raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return jsonl.scan_raw(spark, path, "/meta/a~1b", "/body", {"src": "/meta/src"}, [("/input", EMAIL, "[email]"), ("src", "^src", r"source \g<0>")], BYTE_LIMIT, RESERVED)
 
 
-_REDACTED = f"WITH r AS (SELECT doc_id, source, regexp_replace(text, '{EMAIL}', '[email]', 'g') AS input FROM documents)"
+_REDACTED = f"WITH r AS (SELECT doc_id, source, regexp_replace(text, '{EMAIL}', '[email]', 'g') AS input, row_number() OVER (ORDER BY doc_id) AS line FROM documents)"
 
 
-@query(f"{_REDACTED} SELECT CAST(doc_id AS VARCHAR) AS id, sha256(input) AS input, regexp_replace(source, '^src', 'source src') AS src, true AS has_line FROM r WHERE strlen(input) BETWEEN 1 AND {BYTE_LIMIT}")
+@query(f"{_REDACTED} SELECT CAST(doc_id AS VARCHAR) AS id, sha256(input) AS input, regexp_replace(source, '^src', 'source src') AS src, line FROM r WHERE strlen(input) BETWEEN 1 AND {BYTE_LIMIT}")
 def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows projected by pointers, redacted by ordered rules and checked, with their source line in the metadata."""
     rows, _ = _raw(spark, sf_dir)
     metadata = F.from_json("metadata", f"src string, {RESERVED} struct<source_line:long>")
-    return rows.select("id", F.sha2("input", 256).alias("input"), metadata["src"].alias("src"), (metadata[RESERVED]["source_line"] == F.col("line")).alias("has_line"))
+    return rows.select("id", F.sha2("input", 256).alias("input"), metadata["src"].alias("src"), metadata[RESERVED]["source_line"].alias("line"))
 
 
 @query(f"""{_REDACTED} SELECT 'input has more than {BYTE_LIMIT} bytes' AS message, count(*) AS n FROM r WHERE strlen(input) > {BYTE_LIMIT} HAVING count(*) > 0

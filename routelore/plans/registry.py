@@ -471,4 +471,4 @@ def candidate_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "status", "route", "rejection_reason")
 
 
-from routelore.plans import contracts, files  # noqa: E402, F401  register further queries
+from routelore.plans import chain, contracts, files  # noqa: E402, F401  register further queries
