@@ -3,13 +3,14 @@
 Scan. Each whole text is searched for base candidates of three kinds (assign, access, hex) and for further ones:
 well-known credential formats, private key blocks and long random-looking tokens. Spans are code points, end exclusive.
 
-Ownership. The SHA-256 digests of all candidate values are aggregated over the corpus: in how many distinct
+Ownership. The digests of all candidate values are aggregated over the corpus: in how many distinct
 repositories and from how many distinct owners does a value come? A value that more than ``MAX_OWNERS`` owners
-share, or that is in more than ``MAX_REPOSITORIES`` repositories, is a widely copied example; any other that is not a plain
-placeholder looks live: it is specific to its owner.
+share, or that is in more than ``MAX_REPOSITORIES`` repositories, is a widely copied example; any other looks live: it is specific to its
+owner. Nothing but these counts decides: a value that holds a word such as ``example`` is only flagged, as a real secret may hold it too.
 
 Result. Base spans are always reported. The further spans are reported when their value looks live. ``live`` and ``copied``
-list the spans of either verdict, base ones too, and n_live and n_copied count them. Null texts are empty. Rows with equal id and
+list the spans of either verdict, base ones too, n_live and n_copied count them, and ``flagged`` lists those with a placeholder word. Null
+texts are empty, texts of any length are scanned whole, equal starts are listed by kind, an empty table gives an empty one. Rows with equal id and
 text get equal results. The aggregation is by (value, repository, owner) first, so copies of one secret are combined before the shuffle;
 the verdicts go back to the candidates by a join in which values of more than ``HOT`` candidates, as counted, are dealt over salts.
 """
@@ -57,10 +58,13 @@ DIGIT = re.compile(r"[0-9]")
 MIN_ENTROPY = 3.6
 KINDS = ["assign", "access", "hex", *FORMATS, "random"]
 RANK = {k: i for i, k in enumerate(KINDS)}
+#: Words that flag a value beside its verdict.
 PLACEHOLDER = re.compile(r"example|sample|dummy|test|your|changeme|placeholder|xxxx|1234567", re.IGNORECASE)
 
-CANDIDATE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("value_sha256", pa.string()), ("placeholder", pa.bool_())])
-CANDIDATE_DDL = "array<struct<kind:string,start:bigint,stop:bigint,value_sha256:string,placeholder:boolean>>"
+CANDIDATE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("value_key", pa.binary()), ("placeholder", pa.bool_())])
+CANDIDATE_DDL = "array<struct<kind:string,start:bigint,stop:bigint,value_key:binary,placeholder:boolean>>"
+#: Bytes of the digests that stand for values and texts while they are shuffled.
+KEY = 16
 
 
 def entropy(value: str) -> float:
@@ -98,26 +102,30 @@ def scan(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(found + further, key=lambda x: (x[1], RANK[x[0]]))
 
 
+def _key(value: str) -> bytes:
+    return hashlib.sha256(value.encode()).digest()[:KEY]
+
+
 def candidates(spark: SparkSession, df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` without its text, with the column candidates and the text's digest as row_key."""
     configure(spark)
     keep = [c for c in df.columns if c != text]
-    schema = with_fields(df.select(*named(keep)), ("candidates", CANDIDATE_DDL), ("row_key", "string"))
+    schema = with_fields(df.select(*named(keep)), ("candidates", CANDIDATE_DDL), ("row_key", "binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(text).to_pylist()]
-            rows = [[{"kind": k, "start": s, "stop": e, "value_sha256": hashlib.sha256(v.encode()).hexdigest(), "placeholder": bool(PLACEHOLDER.search(v))} for k, s, e, v in scan(t)] for t in texts]
-            keys = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, pa.list_(CANDIDATE)), pa.array(keys, pa.string())], names=[*keep, "candidates", "row_key"])
+            rows = [[{"kind": k, "start": s, "stop": e, "value_key": _key(v), "placeholder": bool(PLACEHOLDER.search(v))} for k, s, e, v in scan(t)] for t in texts]
+            keys = [_key(t) if r else b"" for t, r in zip(texts, rows, strict=True)]  # texts without candidates are not joined
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, pa.list_(CANDIDATE)), pa.array(keys, pa.binary())], names=[*keep, "candidates", "row_key"])
 
     return df.mapInArrow(run, schema)
 
 
 def ownership(found: DataFrame, repository: Column, owner: Column) -> DataFrame:
-    """value_sha256, repositories, owners: distinct counts over the whole corpus."""
-    each = found.select(F.explode("candidates").alias("c"), repository.alias("repository"), owner.alias("owner")).select("c.value_sha256", "repository", "owner")
-    return each.distinct().groupBy("value_sha256").agg(F.count_distinct("repository").alias("repositories"), F.count_distinct("owner").alias("owners"))
+    """value_key, repositories, owners: distinct counts over the whole corpus."""
+    each = found.select(F.explode("candidates").alias("c"), repository.alias("repository"), owner.alias("owner")).select("c.value_key", "repository", "owner")
+    return each.distinct().groupBy("value_key").agg(F.count_distinct("repository").alias("repositories"), F.count_distinct("owner").alias("owners"))
 
 
 def _spans(array: str) -> Column:
@@ -125,35 +133,37 @@ def _spans(array: str) -> Column:
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, repository: Column, owner: Column, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, live, copied.
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, live, copied, flagged.
 
     ``docs`` has doc_id and text, and what ``repository`` and ``owner`` read."""
     rows = docs.select("doc_id", repository.alias("repository"), owner.alias("owner"), "text")
     found = candidates(spark, rows).checkpoint()
     each = found.where(F.size("candidates") > 0).select("doc_id", "row_key", F.explode("candidates").alias("c")).select("doc_id", "row_key", "c.*").distinct()
-    hot = each.groupBy("value_sha256").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("value_sha256", F.ceil(F.col("n") / F.lit(HOT)).cast("int").alias("salts")).checkpoint()
+    hot = each.groupBy("value_key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("value_key", F.ceil(F.col("n") / F.lit(HOT)).cast("int").alias("salts")).checkpoint()
     salts = F.coalesce("salts", F.lit(1))
-    owners = join_small(ownership(found, F.col("repository"), F.col("owner")), hot, "value_sha256").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
-    each = join_small(each, hot, "value_sha256").withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_key", "start"), salts).cast("int")).drop("salts")
-    each = each.join(owners, ["value_sha256", "salt"])
+    owners = join_small(ownership(found, F.col("repository"), F.col("owner")), hot, "value_key").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    each = join_small(each, hot, "value_key").withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_key", "start"), salts).cast("int")).drop("salts")
+    each = each.join(owners, ["value_key", "salt"])
     is_base = F.col("kind").isin("assign", "access", "hex")
-    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories) & ~F.col("placeholder")
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     spans_where = lambda c: F.array_sort(F.collect_list(F.when(c, F.struct("start", rank.alias("rank"), "kind", "stop"))))
-    per_doc = each.groupBy("doc_id", "row_key").agg(spans_where(is_base | live).alias("shown"), spans_where(live).alias("live"), spans_where(~live).alias("copied"))
+    per_doc = each.groupBy("doc_id", "row_key").agg(spans_where(is_base | live).alias("shown"), spans_where(live).alias("live"), spans_where(~live).alias("copied"), spans_where(F.col("placeholder")).alias("flagged"))
     per_doc = per_doc.select(
         F.col("doc_id").alias("id"), F.col("row_key").alias("key"), _spans("shown").alias("spans"), F.size("live").alias("n_live"), F.size("copied").alias("n_copied"),
-        _spans("live").alias("live"), _spans("copied").alias("copied"),
+        _spans("live").alias("live"), _spans("copied").alias("copied"), _spans("flagged").alias("flagged"),
     )
     base = F.filter("candidates", lambda c: c["kind"].isin("assign", "access", "hex"))
     count = lambda kind: F.size(F.filter("candidates", lambda c: c["kind"] == kind)).cast("long")
     all_rows = found.withColumn("base", base).select(
         "doc_id", "row_key", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(_spans("base"), 256).alias("base_sha256"),
     )
-    joined = all_rows.join(per_doc, all_rows["doc_id"].eqNullSafe(per_doc["id"]) & (all_rows["row_key"] == per_doc["key"]), "left")
+    with_any, without = all_rows.where("row_key <> X''"), all_rows.where("row_key = X''")
+    joined = with_any.join(per_doc, with_any["doc_id"].eqNullSafe(per_doc["id"]) & (with_any["row_key"] == per_doc["key"]), "left")
+    joined = joined.unionByName(without, allowMissingColumns=True)
     text_of = lambda c: F.coalesce(c, F.lit("")).alias(c)
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return joined.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", text_of("spans"), zero("n_live"), zero("n_copied"), text_of("live"), text_of("copied"))
+    return joined.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", text_of("spans"), zero("n_live"), zero("n_copied"), text_of("live"), text_of("copied"), text_of("flagged"))
 
 
 def secrets_query(spark: SparkSession, docs: DataFrame) -> DataFrame:

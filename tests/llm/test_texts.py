@@ -116,6 +116,15 @@ def test_secret_ownership(spark):
     assert secret_scan.secrets_query(spark, make_docs(spark, [])).count() == 0
 
 
+def test_ownership_decides_whatever_the_words(spark):
+    own, shared = "ghp_" + "aB3dE5gH7jK9" * 3 + "test", "glpat-" + "zQ8wE2rT6yU1iO5pA3sD"
+    rows = [(0, f"k {own}", "en", "s0", 0), *[(1 + i, f"k {shared}", "en", f"s{i}", 0) for i in range(5)], (9, "token=example12345678", "en", "s9", 0)]
+    got = {r.doc_id: r for r in secret_scan.secrets_query(spark, spark.createDataFrame(rows, DOCS)).collect()}
+    assert (got[0].spans, got[0].n_live, got[0].n_copied, got[0].flagged) == (f"github:2:{2 + len(own)}", 1, 0, f"github:2:{2 + len(own)}")
+    assert all((got[1 + i].spans, got[1 + i].n_live, got[1 + i].n_copied, got[1 + i].flagged) == ("", 0, 1, "") for i in range(5))
+    assert (got[9].n_live, got[9].n_copied, got[9].flagged) == (1, 0, got[9].spans)
+
+
 FURTHER = {
     "github": r"gh[pousr]_[A-Za-z0-9]{36,}", "gitlab": r"glpat-[A-Za-z0-9_-]{20,}", "google": r"AIza[A-Za-z0-9_-]{35}", "jwt": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
     "pem": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----", "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}", "stripe": r"[rs]k_live_[A-Za-z0-9]{16,}",
@@ -169,7 +178,7 @@ def test_secrets_equal_brute_force(spark, monkeypatch):
     want = []
     for i, text, *_ in rows:
         spans = brute_spans(text)
-        is_live = lambda v: len(owners[v]) <= 2 and len(repositories[v]) <= 4 and not re.search("(?i)example|sample|dummy|test|your|changeme|placeholder|xxxx|1234567", v)
+        is_live = lambda v: len(owners[v]) <= 2 and len(repositories[v]) <= 4
         live, copied = [x for x in spans if is_live(x[3])], [x for x in spans if not is_live(x[3])]
         shown = [x for x in spans if x in live or x[0] in ALL_KINDS[:3]]
         want.append((i, list_of(shown), len(live), len(copied), list_of(live), list_of(copied)))
