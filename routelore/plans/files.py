@@ -35,7 +35,7 @@ def written(spark: SparkSession, rows: DataFrame) -> str:
 def _raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     meta = F.struct(F.col("doc_id").cast("string").alias("a/b"), F.col("source").alias("src"))
     path = written(spark, read(spark, sf_dir, "documents").select("doc_id", meta.alias("meta"), F.col("text").alias("body")))
-    return jsonl.scan_raw(spark, path, "/meta/a~1b", "/body", {"src": "/meta/src"}, [("/input", EMAIL, "[email]"), ("src", "^src", r"source \g<0>")], BYTE_LIMIT, RESERVED)
+    return jsonl.scan_raw(spark, path, "/meta/a~1b", "/body", {"src": "/meta/src"}, [("/input", EMAIL, "[email]"), ("src", "^src", "source src")], BYTE_LIMIT, RESERVED)
 
 
 _REDACTED = f"WITH r AS (SELECT doc_id, source, regexp_replace(text, '{EMAIL}', '[email]', 'g') AS input, row_number() OVER (ORDER BY doc_id) AS line FROM documents)"
