@@ -14,12 +14,14 @@ no more rows in them than others. Only texts that pass the base rules are in the
 Sketches of small groups say little, so they are merged with weights: a language takes in ``PRIOR`` texts' worth of the corpus,
 and a group ``PRIOR`` texts' worth of its language. It is the same rule for all sizes: a group of ten thousand texts hardly
 moves, one of five mostly follows its language. In the merged sketch a rule's cutoff is its upper quantile plus ``REACH`` times
-the distance from the mirrored lower quantile (at least one unit, as no sketch resolves less), by the levels in ``RULES``: quartiles where
-ordinary texts of a group lie close together and up to a quarter of it may be junk (symbols, long words), the 99th percentile where ordinary
-texts have a long thin tail (repeats). No cutoff is a constant. The cutoffs are joined to the figures, and a text
-is kept if it passes the base rules and exceeds no cutoff.
-
-Null languages and sources are groups of their own. Repeated rows are judged alike.
+the spread, its distance from the mirrored lower quantile, by the levels in ``RULES``: quartiles where ordinary texts of a group lie close together and
+up to a quarter of it may be junk (symbols, long words), the 99th percentile where ordinary texts have a long thin tail (repeats).
+Where both quantiles meet, the spread is what the group itself can resolve: the width of the sketch's bin, and for counts of events
+one event in a text of the group's median length, by its own sketch. So a group in which hardly any text holds a symbol still has a cutoff of its own: groups of
+short texts must bear more than those of long ones. The cutoffs are joined to the figures, and a text is kept if it passes the base rules and exceeds no cutoff.
+
+Null languages and sources are groups of their own, null and empty texts have no words, repeated rows are judged alike, ties with a cutoff are kept. Texts
+of any length are counted whole; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -44,13 +46,15 @@ def _sure(count: str) -> str:
     return f"greatest({count} - cast(floor({SIGMAS} * sqrt({count})) as bigint), 0)"
 
 
-#: Rule: (figure and divisor as SQL over the base figures, scaled to an integer; upper quantile in per cent).
+#: Rule: (figure and divisor as SQL over the base figures, scaled to an integer; upper quantile in per cent). All but long_words count events in 10,000 words.
 RULES = {
     "symbols": (f"{_sure('n_symbols')} * 10000 div n_words", 75),
     "dup_lines": (f"{_sure('n_dup_lines')} * 10000 div n_words", 99),
     "repeats": (f"{_sure('(n_repeat_words div 3)')} * 10000 div n_words", 99),
     "long_words": ("word_chars * 100 div n_words", 75),
 }
+#: All sketches: the rules' and that of the texts' lengths, whose median says how fine a group resolves events.
+SKETCHED = RULES | {"words": ("n_words", 50)}
 _SPACE = r"[\\x20\\x09-\\x0D]"
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -106,7 +110,7 @@ def bin_top(b: str) -> str:
 
 def sketches(rows: DataFrame) -> DataFrame:
     """(lang, source, rule, bin, n): the mergeable sketches of rows that have lang, source and the figures."""
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.expr(bin_of(f"({v})")).alias("bin")) for k, (v, _) in RULES.items()]))
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.expr(bin_of(f"({v})")).alias("bin")) for k, (v, _) in SKETCHED.items()]))
     return rows.where(~F.col("base_failed")).select("lang", "source", each.alias("x")).select("lang", "source", "x.*").groupBy("lang", "source", "rule", "bin").agg(F.count("*").alias("n"))
 
 
@@ -130,7 +134,7 @@ def merged(sketch: DataFrame) -> DataFrame:
 def cutoffs(sketch: DataFrame) -> DataFrame:
     """One row per group: lang, source and a cutoff for every rule."""
     bins = merged(sketch).groupBy("lang", "source", "rule").agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("total"))
-    level = F.create_map(*[F.lit(x) for k, (_, v) in RULES.items() for x in (k, v)])
+    level = F.create_map(*[F.lit(x) for k, (_, v) in SKETCHED.items() for x in (k, v)])
     bins = bins.withColumn("level", level[F.col("rule")].cast("long"))
 
     def quantile(level: str) -> str:
@@ -138,8 +142,15 @@ def cutoffs(sketch: DataFrame) -> DataFrame:
         return bin_top(found)
 
     each = bins.select("lang", "source", "rule", F.expr(quantile("level")).alias("high"), F.expr(quantile("(100 - level)")).alias("low"))
-    each = each.withColumn("cutoff", F.expr(f"high + {REACH} * greatest(high - low, 1)").cast("long"))
-    return each.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == k, F.col("cutoff"))).alias(f"max_{k}") for k in RULES])
+    of = lambda rule, column: F.max(F.when(F.col("rule") == rule, F.col(column)))
+    group = each.groupBy("lang", "source").agg(of("words", "high").alias("words"), *[of(k, c).alias(f"{c}_{k}") for k in RULES for c in ("high", "low")])
+    return group.select("lang", "source", *[F.expr(f"high_{k} + {REACH} * {_spread(k, f'high_{k}', f'low_{k}', 'words')}").cast("long").alias(f"max_{k}") for k in RULES])
+
+
+def _spread(rule: str, high: str, low: str, words: str) -> str:
+    """The distance of the quantiles, or what the group resolves where that is more."""
+    event = "" if rule == "long_words" else f", 10000 div {words}"
+    return f"greatest({high} - {low}, {high} div 16{event})"
 
 
 def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -155,7 +166,7 @@ def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", *FIGURES, "base_failed", (~F.col("base_failed") & passes).alias("kept"))
 
 
-_SQL_RULES = {k: v.replace(" div ", " // ") for k, (v, _) in RULES.items()}
+_SQL_RULES = {k: v.replace(" div ", " // ") for k, (v, _) in SKETCHED.items()}
 _SQL_BIN = lambda v: f"greatest(length(bin({v})) - 5, 0) * 16 + (({v}) >> greatest(length(bin({v})) - 5, 0))"
 _SQL_TOP = lambda b: f"((({b} - greatest({b} // 16 - 1, 0) * 16 + 1) << greatest({b} // 16 - 1, 0)) - 1)"
 ORACLE = f"""
@@ -193,11 +204,14 @@ WITH base AS (
   FROM (SELECT DISTINCT lang, source FROM sketch) JOIN (SELECT *, (sum(n) OVER (PARTITION BY lang, rule))::BIGINT AS total FROM wide) w USING (lang) LEFT JOIN sketch s USING (lang, source, rule, bin)
 ), seen AS (
   SELECT *, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY lang, source, rule) AS total,
-         CASE rule {" ".join(f"WHEN '{k}' THEN {v}" for k, (_, v) in RULES.items())} END AS level FROM merged
+         CASE rule {" ".join(f"WHEN '{k}' THEN {v}" for k, (_, v) in SKETCHED.items())} END AS level FROM merged
 ), bounds AS (
   SELECT lang, source, rule, min(bin) FILTER (seen * 100 >= total * level) AS high, min(bin) FILTER (seen * 100 >= total * (100 - level)) AS low FROM seen GROUP BY ALL
+), tops AS (
+  SELECT lang, source, rule, {_SQL_TOP("high")} AS high, {_SQL_TOP("low")} AS low FROM bounds
 ), limits AS (
-  SELECT lang, source, rule, {_SQL_TOP("high")} + {REACH} * greatest({_SQL_TOP("high")} - {_SQL_TOP("low")}, 1) AS cutoff FROM bounds
+  SELECT lang, source, rule, b.high + {REACH} * CASE {" ".join(f"WHEN rule = '{k}' THEN {_spread(k, 'b.high', 'b.low', 'w.high').replace(' div ', ' // ')}" for k in RULES)} END AS cutoff
+  FROM tops b JOIN (SELECT lang, source, high FROM tops WHERE rule = 'words') w USING (lang, source) WHERE rule <> 'words'
 ), over AS (
   SELECT DISTINCT rid FROM ratios JOIN limits USING (lang, source, rule) WHERE ratio > cutoff
 )

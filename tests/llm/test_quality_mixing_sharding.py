@@ -79,6 +79,21 @@ def test_cutoffs_follow_the_group(spark, rng):
     assert len([i for i in kept if i < 900]) >= 895 and not [i for i in kept if 1000 <= i < 2000] and 2000 in kept
 
 
+def test_groups_without_events_resolve_them_by_their_lengths(spark, rng):
+    """Where no ordinary text holds a symbol, short texts must bear more of them than long ones."""
+    text = lambda n, marks: " ".join(f"w{rng.randrange(10**6)}{'#' * (i < marks)}" for i in range(n))
+    sizes = {"short": 60, "middle": 300, "long": 2000}
+    rows = [(i, text(sizes[s], 0), s, s, 0) for i in range(300) for s in [list(sizes)[i % 3]]]
+    junk = {"short": 40, "middle": 60, "long": 120}
+    rows += [(1000 + k, text(sizes[s], n), s, s, 0) for k, (s, n) in enumerate(junk.items())]
+    df = quality.figures(spark.createDataFrame(rows, DOCS)).withColumn("base_failed", quality.base_failed())
+    cut = {r.source: r.max_symbols for r in quality.cutoffs(quality.sketches(df)).collect()}
+    assert cut["short"] > 2 * cut["middle"] > 8 * cut["long"] > 0
+    kept = {r.doc_id for r in quality.judge(spark, spark.createDataFrame(rows, DOCS)).where("kept").collect()}
+    assert kept == set(range(300))  # 120 symbols in 2000 words are too many for the long group, and would not be for the short one
+    assert 10_000 * 120 // 2000 < cut["short"]
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no tables here")
 def test_quality_against_labels(spark):
     labels = spark.read.parquet(f"{TABLES}/labels.parquet")
@@ -87,6 +102,13 @@ def test_quality_against_labels(spark):
     assert n.get((0, True), 0) <= 0.1 * n[0, False] and n.get((1, False), 0) <= 0.01 * n[1, True]
 
 
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no tables here")
+def test_no_rule_has_one_cutoff_for_all_groups(spark):
+    df = quality.figures(spark.read.parquet(f"{TABLES}/documents.parquet")).withColumn("base_failed", quality.base_failed())
+    cut = quality.cutoffs(quality.sketches(df)).collect()
+    assert len(cut) > 20 and all(len({r[f"max_{k}"] for r in cut}) > 1 for k in quality.RULES)
+
+
 @pytest.mark.parametrize("some", [True, False])
 def test_mixing(spark, rows, some, monkeypatch):
     rows = rows if some else []
