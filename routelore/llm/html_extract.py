@@ -9,13 +9,15 @@
    element, or else out of lists, tables and quotes, so that pages of a host with the same frame vote for the same path.
 2. The path of that container, generalised to tags with their first class (digits dropped), is the page's vote,
    and Spark counts votes per host. The path with the most votes wins (ties: the larger score, then the lesser path).
-3. Every page is extracted again with its host's winning path. Where that path is not on the page, or has no text there,
-   the page's own choice stands.
+3. Every page is extracted again with its host's winning path. Where that path is not on the page, or holds less than a ``BIT`` of what
+   the host's pages have there on average and of what the page's own choice holds, that choice stands: the article is elsewhere on this page.
 
 The text is that of all containers on the path, in page order: one line a block, white space inside a block turned into
 one space, character references decoded. Nothing is capped. Null pages have no text; pages without a known host
 vote together under ''. Votes are counted in every task before they are shuffled; the winners are broadcast when they
-are few, and joined under ``SALTS`` salts otherwise, so that no host is a hot task. Unclosed tags and quotes cost no second scan.
+are few, and joined under ``SALTS`` salts otherwise, so that no host is a hot task. Unclosed tags, quotes and scripts cost no second scan, however
+long a page is. Pictures, formulas, players and form controls inside a line are left out without ending it. Repeated rows get equal texts (each votes), an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, configure, with_fields
 
+#: A path that holds less than one part in so many of what is usual is not where the article is.
+BIT = 10
 #: Salts of a host, where hosts are too many to be broadcast.
 SALTS = 64
 
@@ -45,11 +49,14 @@ PIECES = frozenset("table tbody tr td blockquote details figure fieldset center
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LEFT_OUT = frozenset("head title nav footer aside menu dialog button select label fieldset noscript template svg math object canvas audio video".split())
+LEFT_OUT = frozenset("head title nav footer aside menu dialog noscript template".split())
+#: Left out inside a line, which goes on behind them.
+INLINE_OUT = frozenset("svg math object canvas audio video button select label".split())
 FRAMES = frozenset("article main h1".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Class and id words of boilerplate; the second set counts only where no word of the third is beside it.
 STRONG = frozenset("ad ads adv advert adverts advertisement advertising adbox breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter pager pagination popup promo promos related respond share sharing signup social sponsor sponsored subscribe toolbar".split())
+NOTICES = frozenset("alert masthead notice notices notification".split())
 WEAK = frozenset("alert aside banner bar form header login masthead notice notices notification reply search side sidebar tags widget widgets".split())
 POSITIVE = frozenset("article body content entry main post story text".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -58,7 +65,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: nothing closes (there is one of each kind at most) only its tag is taken.
 TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|(/?)([a-zA-Z][^\s/>]*+)((?>[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|["'][^>]*+|[^\s>]*+))*+)(?:>|\Z)|[!?/][^>]*+(?:>|\Z))""", re.S)
 ATTR = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
-RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: A new element of the first kind closes an open one of these, up to the nearest container.
@@ -69,9 +76,9 @@ CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th
 PLAIN, DOUBTFUL, OUT = range(3)
 
 
-def mark(tag: str, attrs: dict[str, str], sectioned: bool) -> int:
-    """``sectioned``: inside an article or main element, where a header is the article's own."""
-    if tag in LEFT_OUT or "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style", "")):
+def mark(tag: str, attrs: dict[str, str], sectioned: bool, in_form: bool = False) -> int:
+    """``sectioned``: inside an article or main element, where a header is the article's own, and of weak words only a notice's marks a paragraph."""
+    if tag in LEFT_OUT or (tag == "fieldset" and in_form) or "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style", "")):
         return OUT
     if tag in ("html", "body", "main"):
         return PLAIN
@@ -80,7 +87,9 @@ def mark(tag: str, attrs: dict[str, str], sectioned: bool) -> int:
     names = [{p.lower() for p in PARTS.findall(name)} for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split()]
     if tag == "article" and any(words & POSITIVE for words in names):
         return PLAIN
-    return DOUBTFUL if any(words & STRONG or (words & WEAK and not words & POSITIVE) for words in names) else PLAIN
+    weak = NOTICES if tag == "p" and sectioned else WEAK
+    found = set().union(*names)
+    return DOUBTFUL if any(words & STRONG for words in names) or (found & weak and not found & POSITIVE) else PLAIN
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -114,9 +123,11 @@ class Page:
         text, links, in_link, pos = [], 0, False, 0
         last = source.rfind(">") + 1  # no tag ends behind
 
+        skip: list | None = None  # the inline element that is being left out, the open elements around it, and how often it is open
+
         def flush() -> None:
             nonlocal text, links
-            if text:
+            if text and not skip:
                 line = " ".join(html.unescape("".join(text)).split())
                 if line:
                     self.blocks.append((stack[-1][1], line, links, stack[-1][0] in HEADINGS))
@@ -124,11 +135,17 @@ class Page:
 
         def say(s: str) -> None:
             nonlocal links
+            if skip:
+                return
             text.append(s)
             if in_link:
                 links += len(s.strip())
 
         def pop(k: int) -> None:
+            nonlocal skip
+            if skip and k < skip[1]:  # the element around it ends
+                skip = None
+                flush()
             for tag, _ in stack[k:]:
                 opened[tag] -= 1
             del stack[k:]
@@ -147,8 +164,18 @@ class Page:
             elif tag in RAW:
                 if not closing and not m[3].endswith("/"):
                     end = RAW_END[tag].search(source, pos)
-                    pos = end.end() if end else len(source)
+                    closed = source.find(">", end.end()) if end else -1
+                    pos = closed + 1 if closed >= 0 else len(source)
                     last = max(last, pos)
+            elif tag in INLINE_OUT:
+                if skip:
+                    if tag == skip[0] and not m[3].endswith("/"):
+                        skip[2] += -1 if closing else 1
+                        if not skip[2]:
+                            pop(skip[1])  # what was left open inside
+                            skip = None
+                elif not closing and not m[3].endswith("/"):
+                    skip = [tag, len(stack), 1]
             elif tag in BLOCKS or tag in LEFT_OUT:
                 flush()
                 if closing:
@@ -161,6 +188,10 @@ class Page:
                     continue
                 if tag in VOID or (m[3].endswith("/") and tag not in BLOCKS):
                     continue
+                if skip:
+                    stack.append((tag, stack[-1][1]))
+                    opened[tag] += 1
+                    continue
                 in_link = False
                 if stack[-1][0] == "p":  # a paragraph ends where another block begins
                     pop(len(stack) - 1)
@@ -170,7 +201,7 @@ class Page:
                 attrs, node = attributes(m[3]) if m[3].strip(" /") else {}, stack[-1][1]
                 if tag == "html":
                     continue
-                marked = mark(tag, attrs, bool(opened["article"] or opened["main"]))
+                marked = mark(tag, attrs, bool(opened["article"] or opened["main"]), bool(opened["form"]))
                 if tag in CONTAINERS or marked != PLAIN:
                     first = re.sub(r"[\d>]+", "", (attrs.get("class", "").split() or [""])[0])
                     self.parent.append(node)
@@ -182,6 +213,7 @@ class Page:
                 stack.append((tag, node))
                 opened[tag] += 1
         say(source[pos:])
+        skip = None
         flush()
 
     def _clean(self) -> None:
@@ -262,10 +294,13 @@ class Page:
         return "\n".join(line for c, line, *_ in self.blocks if inside[c])
 
 
-def extract(source: str | None, winner: str | None) -> str:
+def extract(source: str | None, winner: str | None, usual: int = 0) -> str:
+    """The main text by the host's ``winner``, which has a score of ``usual`` on the host's pages."""
     page = Page(source or "")
-    text = page.text(page.at(winner)) if winner else ""
-    return text or page.text({page.choice()})
+    found, own = page.at(winner) if winner else set(), page.choice()
+    if found and BIT * sum(page.score[c] for c in found) < min(usual, page.score[own]):
+        found = set()
+    return (page.text(found) if found else "") or page.text({own})
 
 
 def host_of(url: str | None) -> str:
@@ -297,9 +332,10 @@ def votes(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
 
 def winners(counted: DataFrame) -> DataFrame:
-    """(host, winner): the path with the most votes on each host."""
+    """(host, winner, usual): the path with the most votes on each host, and its average score there."""
     total = counted.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("score").alias("score"))
-    return total.groupBy("host").agg(F.min_by("path", F.struct(-F.col("pages"), -F.col("score"), "path")).alias("winner"))
+    best = F.min_by(F.struct("path", F.expr("score div pages").alias("usual")), F.struct(-F.col("pages"), -F.col("score"), "path"))
+    return total.groupBy("host").agg(best.alias("best")).select("host", F.col("best.path").alias("winner"), "best.usual")
 
 
 def extract_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -313,11 +349,11 @@ def extract_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     else:
         salted = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         kept = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
-    kept = kept.select("page_id", "url", "host", "html", "winner")
+    kept = kept.select("page_id", "url", "host", "html", "winner", F.coalesce("usual", F.lit(0)).alias("usual"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(s, w) for s, w in zip(batch.column("html").to_pylist(), batch.column("winner").to_pylist(), strict=True)]
+            texts = [extract(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("html", "winner", "usual")), strict=True)]
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column("host")]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars", "host"])
 

@@ -270,7 +270,46 @@ def test_boilerplate_words_do_not_remove_the_article(source, text):
     assert html_extract.extract(source, None) == text
 
 
-@pytest.mark.parametrize("bad", ['<p class="x>word ', "<p class='x>word ", "<div class=john's>word ", "<!-- word ", "<x ", "<", "</section>word ", "<div>word ", "<td><p>word ", "<textarea>word ", '<a b="<a b=\'>', "<form><div class=ad>word ", "&#x41;", "</"])
+@pytest.mark.parametrize(("source", "text"), [
+    ("<p>Sum is <svg/>five and <object/>six.</p>", "Sum is five and six."), ("<p>Sum is <svg><text>9</text><svg></svg>8</svg>five <button>OK <b>now</b></button>and <canvas>x</canvas>six.</p>", "Sum is five and six."),
+    ("<p>one <button>two</p><p>three</p>", "one\nthree"), ("<div><p>a <select><option>1<option>2</select> b</p></div>", "a b"), ("x <label>y", "x"),
+    (f"<div id=content class='search'>{BODY}</div><div><p>small rest</p></div>", TEXT + "\nsmall rest"), (f"<article>{BODY}<p class=search>found</p><fieldset><p>2 eggs</p></fieldset></article>", TEXT + "\nfound\n2 eggs"),
+    (f"<article>{BODY}<p class=notice>Updated.</p><form><fieldset><p>Mail</p></fieldset></form></article>", TEXT),
+])
+def test_inline_parts_and_weak_words(source, text):
+    assert html_extract.extract(source, None) == text
+
+
+def test_winners_equal_a_plain_count(spark):
+    """Votes and winners against a count over all pages, where pages of a host differ in their frames."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(200):
+        frame = rng.choice(["<div class=a{n}>{}</div>", "<main class=m>{}</main>", "<div class=b><section>{}</section></div>"])
+        rows.append((i, f"http://h{i % 7}.example/{i}", f"<body><nav>Menu</nav>{frame.replace('{n}', str(i % 5)).replace('{}', '<p>' + 'word ' * rng.randrange(1, 60) + '</p>')}</body>" if i % 11 else None))
+    count = {}
+    for _, url, source in rows:
+        page = html_extract.Page(source or "")
+        at = page.choice()
+        if page.score[at]:
+            n, score = count.setdefault(html_extract.host_of(url), {}).get(page.path(at), (0, 0))
+            count[html_extract.host_of(url)][page.path(at)] = (n + 1, score + page.score[at])
+    want = {host: min(paths, key=lambda p: (-paths[p][0], -paths[p][1], p)) for host, paths in count.items()}
+    usual = {host: count[host][path][1] // count[host][path][0] for host, path in want.items()}
+    got = {r.host: (r.winner, r.usual) for r in html_extract.winners(html_extract.votes(spark, pages(spark, rows))).collect()}
+    assert got == {host: (path, usual[host]) for host, path in want.items()} and any(len(v) > 3 for v in count.values())
+    texts = {r.page_id: r.text for r in html_extract.extract_pages(spark, pages(spark, rows)).collect()}
+    assert texts == {i: html_extract.extract(source, want[html_extract.host_of(url)], usual[html_extract.host_of(url)]) for i, url, source in rows}
+
+
+def test_a_small_bit_on_the_winning_path_is_not_the_article(spark):
+    rows = [(i, f"http://h.example/{i}", f"<body><div class=main><p>{LONG_PART}{i}</p></div></body>") for i in range(4)]
+    rows.append((9, "http://h.example/9", f"<body><div class=main><p>small bit</p></div><div class=other><p>{LONG_PART}</p></div></body>"))
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark, pages(spark, rows)).collect()}
+    assert got[0] == f"{LONG_PART}0" and LONG_PART.strip() in got[9].split("\n")
+
+
+@pytest.mark.parametrize("bad", ['<p class="x>word ', "<p class='x>word ", "<div class=john's>word ", "<!-- word ", "<x ", "<", "</section>word ", "<div>word ", "<td><p>word ", "<textarea>word ", '<a b="<a b=\'>', "<form><div class=ad>word ", "&#x41;", "</", "<script></script ", "<style>x</style/", "<svg>word ", "<label><p>word "])
 def test_broken_markup_takes_linear_time(bad):
     page = "<article><p>start</p>" + bad * (1_000_000 // len(bad))
     began = time.process_time()
