@@ -12,16 +12,18 @@ A document is a candidate for an item when they share a minimum in some window.
 items of one shingle are never missed.
 Every candidate is then verified: distinct shingles of the item that are in the whole document, by their text.
 
-Items are a stated query set: they are handed to the executors in blocks of at most ``BLOCK_ITEMS`` rows and
-``BLOCK_CHARS`` characters, one pass over the documents a block. Texts are never shuffled, a document is judged by itself,
+Items are a stated query set: Spark works out their minima, and the driver orders them and hands them to the executors in blocks of at most
+``BLOCK_ITEMS`` rows and ``BLOCK_CHARS`` characters, one pass over the documents a block; no task builds anything, and the shingles of an item are
+made where it is a candidate. Texts are never shuffled, a document of any length is searched whole and judged by itself,
 so hot sources and copies skew nothing. Texts without words have no shingle and are in no pair. Nulls are empty texts; items whose
-id is null are searched like any other. Repeated rows give repeated pairs.
+id is null are searched like any other. Repeated rows give repeated pairs, ties at the threshold count, and without documents or items there is no pair.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -83,31 +85,54 @@ def seeds(n: int = PERMUTATIONS) -> np.ndarray:
     return mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+class Described(NamedTuple):
+    """An item as it is searched for."""
+
+    id: int | None
+    text: str
+    #: Words of its shingles, distinct shingles, and their minima under all permutations.
+    length: int
+    size: int
+    minima: bytes
+
+
+def describe(id_: int | None, text: str | None, hashes: WordHashes, n: int = WORDS) -> Described:
+    words = words_of(text)
+    length = max(1, min(n, len(words)))
+    hashed = np.unique(hashes.shingles(words, length))
+    # one shingle is its own minimum
+    minima = hashed if len(hashed) <= 1 else permuted(hashed[None, :], seeds()[:, None]).min(axis=1)
+    return Described(id_, text or "", length, len(set(shingles_of(words, length))), minima.tobytes())
+
+
 class Index:
-    """MinHash minima of the items of each size class, and their shingles for the exact check."""
-
-    def __init__(self, items: list[tuple[int, str]], n: int = WORDS, threshold: float = THRESHOLD) -> None:
-        self.n, self.threshold, self.hashes, self.seeds = n, threshold, WordHashes(), seeds()
-        self.ids, self.sets, self.lengths = [i for i, _ in items], [], []
-        hashed = []
-        for _, text in items:
-            words = words_of(text)
-            self.lengths.append(max(1, min(n, len(words))))  # words of the item's shingles
-            self.sets.append(frozenset(shingles_of(words, self.lengths[-1])))
-            hashed.append(np.unique(self.hashes.shingles(words, self.lengths[-1])))
-        sizes = [len(x) for x in self.sets]
+    """The minima of the items of each size class in order, as the tasks read them."""
+
+    def __init__(self, items: list[Described], n: int = WORDS, threshold: float = THRESHOLD) -> None:
+        self.n, self.threshold, self.seeds = n, threshold, seeds()
+        self.ids, self.texts, self.lengths, sizes = [x.id for x in items], [x.text for x in items], [x.length for x in items], [x.size for x in items]
+        self.sizes = sizes
         #: Items of one shingle by its words: (sorted hashes, item numbers).
         self.single: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for m in {m for m, k in zip(self.lengths, sizes, strict=True) if k == 1}:
             mine = np.array([j for j, k in enumerate(sizes) if k == 1 and self.lengths[j] == m])
-            keys = np.array([hashed[j][0] for j in mine], np.uint64)
+            keys = np.array([np.frombuffer(items[j].minima, np.uint64)[0] for j in mine], np.uint64)
             self.single[m] = (np.sort(keys), mine[keys.argsort(kind="stable")])
         self.classes: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
         for u in sorted({self._class(k) for k in sizes if k > 1}):
             mine = [j for j, k in enumerate(sizes) if k > 1 and self._class(k) == u]
-            minima = np.array([[permuted(hashed[j], s).min() for s in self.seeds] for j in mine])
+            minima = np.stack([np.frombuffer(items[j].minima, np.uint64) for j in mine])
             order = minima.argsort(axis=0, kind="stable")
             self.classes[u] = ([minima[order[:, p], p] for p in range(PERMUTATIONS)], [np.array(mine)[order[:, p]] for p in range(PERMUTATIONS)])
+        self.hashes, self.sets = WordHashes(), {}  # of a task
+
+    def shingles(self, j: int) -> frozenset[str]:
+        """The distinct shingles of an item, kept for items that were candidates before (up to a bound)."""
+        if j not in self.sets:
+            if len(self.sets) >= 2_000:
+                self.sets.clear()
+            self.sets[j] = frozenset(shingles_of(words_of(self.texts[j]), self.lengths[j]))
+        return self.sets[j]
 
     @staticmethod
     def _class(size: int) -> int:
@@ -179,20 +204,30 @@ class Index:
                 if held and next(iter(held))[0] != k:
                     held = {}  # one text's sets at a time
                 held[k, m] = frozenset(shingles_of(words[k], m))
-            shared = len(self.sets[j] & held[k, m])
-            if shared >= self.threshold * len(self.sets[j]) - 1e-9:
-                out.append((k, self.ids[j], shared, len(self.sets[j])))
+            shared = len(self.shingles(j) & held[k, m])
+            if shared >= self.threshold * self.sizes[j] - 1e-9:
+                out.append((k, self.ids[j], shared, self.sizes[j]))
         return out
 
 
-def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Blocks of the query set, of bounded rows and characters, read one partition at a time."""
+def item_blocks(items: DataFrame, n: int = WORDS) -> Iterator[list[Described]]:
+    """Blocks of the query set, of bounded rows and characters, described by the executors and read one partition at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            rows = [describe(i, t, hashes, n) for i, t in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True)]
+            kinds = (batch.schema.field("item_id").type, pa.string(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=list(Described._fields))
+
+    rows = items.select("item_id", "text")
+    described = rows.mapInArrow(run, f"id {dict(rows.dtypes)['item_id']}, text string, length int, size long, minima binary")
     block, chars = [], 0
-    for r in items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).toLocalIterator():
+    for r in described.toLocalIterator():
         if block and (len(block) >= BLOCK_ITEMS or chars + len(r["text"]) > BLOCK_CHARS):
             yield block
             block, chars = [], 0
-        block.append((r["item_id"], r["text"]))
+        block.append(Described(r["id"], r["text"], r["length"], r["size"], bytes(r["minima"])))
         chars += len(r["text"])
     yield block
 
@@ -216,11 +251,11 @@ def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, thre
     """(doc_id, item_id, shared, item_shingles) of all items contained in documents, one row a pair."""
     configure(spark)
     rows, out = docs.select("doc_id", "text"), None
-    for block in item_blocks(items):
-        held = spark.sparkContext.broadcast(block)
+    for block in item_blocks(items, n):
+        held = spark.sparkContext.broadcast(Index(block, n, threshold))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = Index(held.value, n, threshold)
+            index = held.value
             for batch in batches:
                 ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
                 for begin, end in _grouped(texts):
@@ -238,11 +273,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, th
     """The rows of ``docs`` that contain no item, in their own columns; each is judged where it lies."""
     configure(spark)
     schema = docs.schema
-    for block in item_blocks(items):
-        held = spark.sparkContext.broadcast(block)
+    for block in item_blocks(items, n):
+        held = spark.sparkContext.broadcast(Index(block, n, threshold))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = Index(held.value, n, threshold)
+            index = held.value
             for batch in batches:
                 texts = batch.column("text").to_pylist()
                 keep = np.ones(len(texts), bool)
