@@ -202,20 +202,30 @@ def completions_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.align(d.select(F.col("doc_id").alias("ord"), F.col("lang").alias("expected")), d.select(F.col("doc_id").alias("ord"), F.sha2(F.upper("lang"), 256).alias("completion")))
 
 
-_VERSIONS = [None, "1", "2", "3"]
-_OLD = {"current": 0, "v1": 1, "unversioned": 2}
-_KINDS = ", ".join(f"('{k}', {_OLD[p]})" for k, p in migrations.POLICIES.items())
+_KINDS = sorted(migrations.POLICIES)
+_TAKES = {"current": "v = '2'", "v1": "v IN ('1', '2')", "unversioned": "(v IS NULL OR v IN ('1', '2'))"}
+_OWN = " ".join(f"WHEN '{k}' THEN {_TAKES[migrations.POLICIES[k]]}" for k in _KINDS)
 
 
-@query(f"""SELECT kind, coalesce(v, 'none') AS version, CASE WHEN v = '2' OR (v = '1' AND old >= 1) OR (v IS NULL AND old = 2) THEN '2' END AS migrated FROM (VALUES {_KINDS}) AS k(kind, old), (VALUES (NULL), ('1'), ('2'), ('3')) AS x(v)""")
+def _versioned(name: str) -> Column:
+    """Null, 1, 2 or 3, by a number."""
+    return F.when(F.col(name) > 0, F.col(name).cast("string")).alias("schema_version")
+
+
+@query(f"""WITH d AS (SELECT doc_id, source, n_chars, (ARRAY{_KINDS})[CAST(doc_id % {len(_KINDS)} AS INT) + 1] AS kind, nullif(doc_id // {len(_KINDS)} % 4, 0) AS o, nullif(doc_id // {4 * len(_KINDS)} % 4, 0) AS i FROM documents),
+e AS (SELECT *, CAST(o AS VARCHAR) AS v, kind = 'training_manifest' AND coalesce(i, 1) = 3 AS bad_config FROM d), f AS (SELECT *, coalesce(CASE kind {_OWN} END, false) AS own FROM e)
+SELECT doc_id, kind, CASE WHEN own AND NOT bad_config THEN '2' END AS version, CASE WHEN own AND NOT bad_config THEN source END AS source, CASE WHEN own AND NOT bad_config THEN n_chars END AS n_chars,
+CASE WHEN own AND NOT bad_config THEN CASE WHEN kind = 'training_manifest' THEN '2' ELSE CAST(i AS VARCHAR) END END AS config,
+CASE WHEN NOT own THEN kind || ': version ' || coalesce('"' || v || '"', 'none') || ' is not supported' WHEN bad_config THEN 'training_config: version "3" is not supported' END AS error FROM f""")
 def document_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every kind of document in every version, and what becomes of it."""
-    rows = []
-    for kind in migrations.POLICIES:
-        for version in _VERSIONS:
-            try:
-                found = migrations.migrate(kind, {} if version is None else {"schema_version": version})["schema_version"]
-            except migrations.VersionError:
-                found = None
-            rows.append((kind, version or "none", found))
-    return spark.createDataFrame(rows, "kind string, version string, migrated string")
+    """Records of the documents as documents of every kind and version, with a configuration inside, in their current version."""
+    n = len(_KINDS)
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id", "source", "n_chars", F.array(*map(F.lit, _KINDS))[(F.col("doc_id") % n).cast("int")].alias("kind"), F.expr(f"doc_id div {n} % 4").alias("o"), F.expr(f"doc_id div {4 * n} % 4").alias("i"),
+    )
+    inner = F.struct(_versioned("i"), F.lit(1).alias("seed"))
+    rows = rows.select("doc_id", "kind", F.to_json(F.struct(_versioned("o"), "source", "n_chars", inner.alias("config"))).alias("document"))
+    found = migrations.migrate_documents(rows, "kind", "document")
+    m = F.from_json("migrated", "schema_version string, source string, n_chars long, config struct<schema_version:string>")
+    return found.select("doc_id", "kind", m["schema_version"].alias("version"), m["source"].alias("source"), m["n_chars"].alias("n_chars"), m["config"]["schema_version"].alias("config"), "error")
+

@@ -389,6 +389,23 @@ def test_migrations():
             migrations.migrate(kind, {"schema_version": version} if version else {})
 
 
+def test_migrated_columns_equal_one_document_at_a_time(spark):
+    inner = [{}, {"schema_version": "1", "b": [1, {"é": None}], "a": "x\n\"\\"}, {"schema_version": "3"}, {"schema_version": None}, {"schema_version": 2}, [1], "text", None]
+    rows = []
+    for kind in migrations.POLICIES:
+        for version in ("", None, "1", "2", "3", 2):
+            for value in inner:
+                document = {"z": 1, "A": True, "config": value, "parent": value, "comparison": {"schema_version": "2", "child": value}, "evaluation": value}
+                rows.append((kind, json.dumps(document | ({} if version == "" else {"schema_version": version}))))
+    rows += [("nothing", "{}"), ("training_config", "[1]"), ("training_config", "{"), (None, "{}"), ("training_config", None)]
+    for r in migrations.migrate_documents(spark.createDataFrame(rows, "kind string, document string"), "kind", "document").collect():
+        try:
+            want = json.dumps(migrations.migrate(r.kind, json.loads(r.document)), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+        except (migrations.VersionError, KeyError, ValueError, AttributeError, TypeError):
+            want = None
+        assert r.migrated == want and (r.error is None) == (want is not None), r
+
+
 def test_token_records_and_batches(spark):
     rows = spark.createDataFrame([(0, f"ab{C}cd"), (1, "no call"), (2, f"a{C}"), (3, f"abc{C}d" + "e" * 90)], "n int, compiled string")
     got = training_data.token_records(rows, lambda: lambda t: [ord(c) for c in t.replace(C, "|")], 20).orderBy("n").collect()
