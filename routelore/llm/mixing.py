@@ -17,7 +17,8 @@ totals of these 4,096 ranges, so no window holds a hot source or all of its bloc
 documents up to one place in the order, so one row a source tells every document how often it is given. The sources are as many as
 the corpus names; their number is checked against ``MAX_SOURCES`` before they meet in one array, and beyond it
 the operator raises an error. Null sources form a source of their own (''); null and empty texts have no tokens
-and count as one token, so that they are given like any other. Repeated rows are given one by one.
+and count as one token, so that they are given like any other. Repeated rows are given one by one. Of the exponents that
+meet the target the bisection ends at one; texts of any length count whole; an empty table gives an empty one.
 """
 
 from __future__ import annotations

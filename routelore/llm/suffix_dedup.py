@@ -22,7 +22,8 @@ by the longest previous factor.
 4. Removal. The windows found go back to their documents, where spans are merged and the other bytes are kept.
 
 Texts are taken as UTF-8 bytes; null texts are empty, and texts shorter than LENGTH keep all bytes. If ids are null or
-repeated, rows are ordered by id (null first) and digest of the text, and each row is a document of its own.
+repeated, rows are ordered by id (null first) and digest of the text, and each row is a document of its own; among equal rows any may be the
+earlier one, which changes no digest. Texts of any length are cut into pieces that overlap by a window. An empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -11,6 +11,7 @@ own scores; for others, which only rank their pieces, the score is the logarithm
 
 Every task walks a trie of its own per batch and keeps the terminal counts of some ``MAX_WORDS`` words: memory is
 bounded, nothing is shuffled, and forgetting changes no result. Null and empty texts have no tokens. Rows keep their number; equal texts get equal counts.
+A text of any length is counted whole, its words word by word; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import configure, with_fields
+from .common import configure, free_name, map_rows, named, with_fields
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Terminal counts that a task keeps for words seen before.
@@ -98,9 +99,10 @@ class Trie:
 
 
 def count_tokens(spark: SparkSession, df: DataFrame, text: str = "text", model: str = MODEL, into: tuple[str, str] = ("n_pretokens", "n_tokens")) -> DataFrame:
-    """``df`` without its text, with the numbers of pre-tokens and tokens (new columns, which must not clash)."""
+    """``df`` without its text, with the numbers of pre-tokens and tokens (new columns, underscored where ``df`` has such names)."""
     configure(spark)
-    keep = [c for c in df.columns if c != text]
+    into = (free_name(df, into[0]), free_name(df, into[1]))
+    keep = df.select(*named([c for c in df.columns if c != text]))
     scores = spark.sparkContext.broadcast(load_scores(model))  # the vocabulary has a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,9 +113,10 @@ def count_tokens(spark: SparkSession, df: DataFrame, text: str = "text", model:
                 terminal.clear()
             terminal |= trie.counts(set(chain.from_iterable(texts)) - terminal.keys())
             words, tokens = [len(x) for x in texts], [sum(map(terminal.__getitem__, x)) for x in texts]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[*keep, *into])
+            kept = [i for i, name in enumerate(batch.schema.names) if name != text]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[*[batch.schema.names[i] for i in kept], *into])
 
-    return df.mapInArrow(run, with_fields(df.select(*keep), (into[0], "long"), (into[1], "long")))
+    return map_rows(df, run, with_fields(keep, (into[0], "long"), (into[1], "long")))
 
 
 def tokens_query(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -402,3 +402,12 @@ def test_token_counts_equal_brute_force(spark, rng, monkeypatch):
 def test_trie_shares_prefixes():
     trie = token_counts.Trie({"a": -1.0, "ab": -1.5, "abc": -5.0, "c": -1.0})
     assert trie.counts(["abc", "abcab", "ab", "abc"]) == {"ab": 1, "abc": 2, "abcab": 3} and trie.nodes == 5
+
+
+def test_new_columns_make_way_for_old_ones(spark):
+    df = make_docs(spark, ["one two", None, "x"]).select("*", F.lit("kept").alias("n_tokens"), F.lit(1).alias("a.b"), F.lit("old").alias("Score"))
+    out = token_counts.count_tokens(spark, df)
+    assert out.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "a.b", "Score", "n_pretokens", "_n_tokens"]
+    assert sorted((r[0], r[4], r[5], r[7]) for r in out.collect()) == [(0, "kept", 1, 2), (1, "kept", 1, 0), (2, "kept", 1, 1)]
+    found = langid.predict(spark, df, {"en": b"one two three", "de": b"eins zwei drei"})
+    assert found.columns == [*df.columns, "lang_pred", "_score"] and {r["Score"] for r in found.collect()} == {"old"}
