@@ -90,12 +90,29 @@ def evaluate_completions(spark: SparkSession, data: str, routes: list[registry.R
     report = evaluate.metrics(scored)
     gates = [r.asDict() for r in evaluate.gates(report, minimums).orderBy("pos").collect()]
     return {
-        "schema_version": "2", "metrics": report.first().asDict(), "routes": [r.asDict() for r in evaluate.route_metrics(scored, known).orderBy("pos").collect()],
+        "schema_version": "2", "data": artifacts.source_side(spark, data), "registry_fingerprint": artifacts.registry_fingerprint(routes), "metrics": report.first().asDict(), "routes": [r.asDict() for r in evaluate.route_metrics(scored, known).orderBy("pos").collect()],
         "confusion": {r["expected"]: dict(r["predicted"]) for r in evaluate.confusion_maps(scored, known).orderBy("pos").collect()}, "invalid": {r["category"]: r["count"] for r in evaluate.invalid_counts(scored).orderBy("pos").collect()},
         "failures": [r.asDict() for r in evaluate.representatives(scored, redact, ["input", "raw_completion", "detail"]).orderBy("ord").collect()], "thresholds": gates, "passed": bool(gates and gates[0]["all_passed"]),
     }
 
 
+def compare_completions(spark: SparkSession, data: str, routes: tuple[list[registry.Route], list[registry.Route]], completions: tuple[str, str], minimums: dict[str, float], max_drops: tuple[float, float] = (0.0, 0.0), redact: bool = False) -> dict:
+    """A child against its parent on the same replay data: both reports, the drops of their accuracies, and whether all gates hold.
+
+    The child's registry must begin with the parent's routes, unchanged, and have more; the data know the parent's routes only."""
+    training_artifacts.registry_growth(*routes)
+    parent, child = (evaluate_completions(spark, data, known, given, minimums, redact) for known, given in zip(routes, completions, strict=True))
+    if parent["data"] != child["data"]:
+        raise artifacts.ArtifactError(f"{data}: changed between the two reports")
+    training_artifacts.require_report_prefix(parent, child)
+    drops = [parent["metrics"][m] - child["metrics"][m] for m in ("route_accuracy", "argument_accuracy")]
+    return {
+        "schema_version": "2", "regression_data": parent["data"], "parent": parent, "child": child, "old_route_names": [r["name"] for r in parent["routes"]],
+        "max_route_accuracy_drop": max_drops[0], "route_accuracy_drop": drops[0], "max_argument_accuracy_drop": max_drops[1], "argument_accuracy_drop": drops[1],
+        "passed": parent["passed"] and child["passed"] and all(d <= most for d, most in zip(drops, max_drops, strict=True)),
+    }
+
+
 def _transport(name: str):
     """``module:function`` that sends a request: (endpoint, credential, model, messages) to the provider's answer."""
     module, _, function = name.partition(":")
@@ -124,12 +141,17 @@ def _parser() -> argparse.ArgumentParser:
     add("label", "config").add_argument("--transport", required=True, help="module:function that sends a request")
     add("review-labels", "config")
     add("accept-labels", "config")
-    c = add("evaluate", "data")
-    c.add_argument("--routes", required=True)
-    c.add_argument("--completions", required=True)
-    c.add_argument("--redact", action="store_true")
-    for name in evaluate.THRESHOLDS:
-        c.add_argument(f"--{name.replace('_', '-')}", type=float, default=0.0)
+    scored = {"evaluate": ["routes", "completions"], "compare": ["parent-routes", "child-routes", "parent-completions", "child-completions"]}
+    for command, files in scored.items():
+        c = add(command, "data")
+        for name in files:
+            c.add_argument(f"--{name}", required=True)
+        c.add_argument("--redact", action="store_true")
+        for name in evaluate.THRESHOLDS:
+            c.add_argument(f"--{name.replace('_', '-')}", type=float, default=0.0)
+        if command == "compare":
+            for name in ("route", "argument"):
+                c.add_argument(f"--max-{name}-accuracy-drop", type=float, default=0.0)
     for name in ("train", "continue", "export"):
         add(name, "config")
     return parser
@@ -151,7 +173,7 @@ def main(arguments: list[str] | None = None) -> int:
     print(jsonl.canonical(found))
     if a.command == "ingest" and a.debug:
         print(f"source {found['source']['rows']} rows {found['source']['sha256']}, output {found['output']['rows']} rows {found['output']['sha256']}, redactions {found['redaction_count']}, limit {found['max_input_bytes']}", file=sys.stderr)
-    return int(a.command == "evaluate" and not found["passed"])
+    return int(a.command in ("evaluate", "compare") and not found["passed"])
 
 
 def _run(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -161,6 +183,9 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> dict:
         return split(spark, a.data, load_routes(a.routes), a.seed, a.out)
     if a.command == "evaluate":
         return evaluate_completions(spark, a.data, load_routes(a.routes), a.completions, {n: getattr(a, n) for n in evaluate.THRESHOLDS}, a.redact)
+    if a.command == "compare":
+        routes, completions = (load_routes(a.parent_routes), load_routes(a.child_routes)), (a.parent_completions, a.child_completions)
+        return compare_completions(spark, a.data, routes, completions, {n: getattr(a, n) for n in evaluate.THRESHOLDS}, (a.max_route_accuracy_drop, a.max_argument_accuracy_drop), a.redact)
     if a.command == "label":
         return label(spark, a.config, a.transport)
     return {"ingest": stages.ingest, "review-labels": stages.review_labels, "accept-labels": stages.accept_labels}[a.command](spark, a.config)

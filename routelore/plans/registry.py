@@ -423,7 +423,9 @@ def position_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT coalesce(p.pos, c.pos) AS pos, old, new, CASE WHEN old IS NULL THEN 'added' WHEN old = new THEN 'retained' ELSE 'changed' END AS state FROM p FULL JOIN c ON p.pos = c.pos""")
 def registry_prefix_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nations as a child registry of the first twenty."""
-    names = [r["n_name"] for r in read(spark, sf_dir, "nation").select("n_name", "n_nationkey").orderBy("n_nationkey").limit(registry.MAX_ROUTES).collect()]  # a registry has a bounded size
+    names = [r["n_name"] for r in read(spark, sf_dir, "nation").select("n_name", "n_nationkey").orderBy("n_nationkey").limit(registry.MAX_ROUTES + 1).collect()]  # a registry has a bounded size
+    if len(names) > registry.MAX_ROUTES:
+        raise ValueError(f"more than {registry.MAX_ROUTES} routes")
     child = [("other" if i == 3 else n) for i, n in enumerate(names)]
     found = registry.registry_change(registry.names_registry(spark, names[:20]), registry.names_registry(spark, child))
     return found.withColumn("pos", F.col("pos").cast("long"))

@@ -30,3 +30,27 @@ def test_validate_and_split(spark, tmp_path, capsys):
     data.write_text(data.read_text() + "{}\n")
     assert cli.main(["validate", str(data), "--routes", str(tmp_path / "routes.yaml")]) == 1
     assert "rows.jsonl:11" in capsys.readouterr().err
+
+
+def test_compare(spark, tmp_path, capsys):
+    from routelore.functions.codec import CALL, END_CALL
+
+    (tmp_path / "old.yaml").write_text(ROUTES)
+    (tmp_path / "new.yaml").write_text(ROUTES + "  - name: c\n")
+    rows = [{"id": str(i), "input": f"text {i}", "route": {"name": "b"}} for i in range(10)]
+    (tmp_path / "replay.jsonl").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    call = lambda name: f"{CALL}call:{name}{{}}{END_CALL}"
+    for name, said in (("parent", ["b"] * 9 + ["c"]), ("child", ["b"] * 8 + ["c"] * 2)):
+        (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps({"raw_completion": call(x)}) + "\n" for x in said))
+    at = lambda name: str(tmp_path / name)
+    base = ["compare", at("replay.jsonl"), "--parent-routes", at("old.yaml"), "--child-routes", at("new.yaml"), "--parent-completions", at("parent.jsonl"), "--child-completions", at("child.jsonl")]
+    assert cli.main(base) == 1
+    found = json.loads(capsys.readouterr().out)
+    assert found["old_route_names"] == ["a", "b"] and found["regression_data"]["rows"] == 10 and found["parent"]["data"] == found["child"]["data"] == found["regression_data"]
+    assert (found["parent"]["metrics"]["route_accuracy"], found["child"]["metrics"]["route_accuracy"]) == (0.9, 0.8) and abs(found["route_accuracy_drop"] - 0.1) < 1e-9 and not found["passed"]
+    assert found["parent"]["invalid"] != found["child"]["invalid"]  # c is unknown to the parent, a wrong route for the child
+    assert cli.main([*base, "--max-route-accuracy-drop", "0.11", "--max-argument-accuracy-drop", "0.11"]) == 0
+    assert json.loads(capsys.readouterr().out)["passed"]
+    assert cli.main([*base, "--max-route-accuracy-drop", "0.11", "--max-argument-accuracy-drop", "0.11", "--route-accuracy", "0.85"]) == 1
+    capsys.readouterr()
+    assert cli.main([x.replace("new.yaml", "old.yaml") for x in base]) == 1 and "no route was added" in capsys.readouterr().err
