@@ -68,7 +68,7 @@ def split(spark: SparkSession, data: str, routes: list[registry.Route], seed: in
     if small:
         raise dataset.DatasetError(f"route {small[0]['name']} has fewer than three rows")
     parts = sampling.stratified_split(rows, seed).join(F.broadcast(known.select(F.col("name").alias("route"), "pos")), "route")
-    raw = jsonl.lines(spark, data).withColumnRenamed("value", "text")
+    raw = jsonl.source_lines(spark, data).withColumnRenamed("value", "text")
     parts = parts.join(raw, ["source", "line"])
     sizes = {r["part"]: r["n"] for r in parts.groupBy("part").agg(F.count("*").alias("n")).collect()}
     manifest = {"schema_version": "2", "seed": seed, "rows": sizes, "registry_sha256": artifacts.registry_fingerprint(routes)}
