@@ -5,8 +5,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import pytest
+from pyspark.sql import functions as F
 
-from routelore.llm import suffix_dedup
+from routelore.llm import common, suffix_dedup
 
 from .conftest import make_docs, words
 
@@ -130,3 +131,12 @@ def test_steps_equal_brute_force_whatever_hashes_and_sizes(monkeypatch, salts, b
             want.append(bytes(gone))
         assert covered(texts, in_process(texts, [3, 100][case % 2], salts)) == want
         assert any(map(any, want))
+
+
+def test_stashed_tables_leave_no_shuffle_files(spark):
+    common.configure(spark)
+    held = lambda: {b for b in map(str, spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks())) if b.startswith("shuffle_")}
+    before = held()
+    kept = common.stash(spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")))
+    assert not held() - before and spark.conf.get(common.CLEANUP) == "false"
+    assert sorted((r.k, r.n) for r in kept.collect()) == [(k, 143 - (k == 6)) for k in range(7)]
